@@ -65,7 +65,9 @@ def all_rules_hold() -> Column:
         & c("event_type").isin(EVENT_TYPES)
         & c("order_status").isin(ORDER_STATUSES)
         & (c("order_amount") > 0)
-        & (c("message_key") == c("order_id"))
+        # Null-safe, or Spark infers the UUID pattern for the key as well. The
+        # pattern of order_id below keeps two nulls out.
+        & c("message_key").eqNullSafe(c("order_id"))
         & c("currency").rlike(CURRENCY_REGEX)
         & c("event_id").rlike(UUID_REGEX)
         & c("order_id").rlike(UUID_REGEX)

@@ -18,6 +18,7 @@ from orderlake.functions.contract import (
     EVENT_TYPES,
     ORDER_STATUSES,
 )
+from orderlake.functions.once import compute_once
 from orderlake.schemas import AMOUNT, EVENT_COLUMNS
 
 # Spellings the contract accepts ------------------------------
@@ -42,21 +43,33 @@ _PAYLOAD = ArrayType(StructType([StructField(n, VariantType()) for n in EVENT_CO
 
 
 class _Given:
-    """One field of the payload: whether it was sent, as what type and text."""
+    """One field of the payload: whether it was sent, as what type and text.
+
+    Works on the columns that :func:`_taken_apart` makes.
+    """
 
     def __init__(self, name: str):
-        value = F.col(f"_payload.{name}")
-        self.absent = value.isNull()
-        self.text = F.try_variant_get(value, "$", "string")
-        self.kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
-        self.is_string = self.kind == "STRING"
-        self.is_boolean = self.kind == "BOOLEAN"
-        self.is_number = self.kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+        self.text, kind = F.col(f"_text_{name}"), F.col(f"_kind_{name}")
+        self.absent = kind.isNull()
+        self.is_string = kind == "STRING"
+        self.is_boolean = kind == "BOOLEAN"
+        self.is_number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
     def among(self, allowed: list[str]) -> Column:
         return self.is_string & self.text.isin(allowed)
 
 
+def _taken_apart() -> dict[str, Column]:
+    """Text and type of each field. A field that was not sent has a null type, a
+    JSON null the type VOID."""
+    columns = {}
+    for name in EVENT_COLUMNS:
+        value = F.col("_payload")[name]
+        columns[f"_text_{name}"] = F.try_variant_get(value, "$", "string")
+        columns[f"_kind_{name}"] = F.schema_of_variant(value)
+    return columns
+
+
 def _uuid(given: _Given) -> Column:
     """Canonical lower-case UUID, or null."""
     digits = F.regexp_replace(F.lower(given.text), r"^urn:uuid:|[{}\-]", "")
@@ -125,20 +138,23 @@ def _fresh_id(df: DataFrame) -> Column:
 def apply_contract(df: DataFrame, payload: str = "raw_event") -> DataFrame:
     """Parse and check the JSON text in ``payload``.
 
-    Adds the nine normalised event columns and contract_errors, an array with
-    the code of each broken term; it is empty for an accepted event.
+    Adds the nine normalised event columns, is_accepted, and contract_errors, an
+    array with the code of each broken term; it is empty for an accepted event.
     Columns of ``df`` that share a name with an event column are replaced.
     """
     # Wrapped in brackets, so that text after the object breaks the parse.
     wrapped = F.concat(F.lit("["), F.col(payload), F.lit("]"))
     items = F.from_json(wrapped, _PAYLOAD, {"allowSingleQuotes": "false"})
-    parsed = df.withColumn("_items", items).withColumn(
-        "_payload", F.when(F.size("_items") == 1, F.get("_items", F.lit(0)))
-    )
+    # Each step runs once per row: parse, unwrap, take apart, read the values.
+    parsed = compute_once(df, _items=items)
+    sole = F.when(F.size("_items") == 1, F.get("_items", F.lit(0)))
+    unwrapped = compute_once(parsed, _payload=sole).drop("_items")
+    fields = compute_once(
+        unwrapped, _is_object=F.col("_payload").isNotNull(), **_taken_apart()
+    ).drop("_payload")
 
     g = {name: _Given(name) for name in EVENT_COLUMNS}
-    number = _number(g["order_amount"])
-    clean = {
+    values = {
         "event_id": _uuid(g["event_id"]),
         "event_type": F.when(g["event_type"].among(EVENT_TYPES), g["event_type"].text),
         "event_version": _version(g["event_version"]),
@@ -147,9 +163,19 @@ def apply_contract(df: DataFrame, payload: str = "raw_event") -> DataFrame:
         "order_status": F.when(
             g["order_status"].among(ORDER_STATUSES), g["order_status"].text
         ),
+        "order_amount": _number(g["order_amount"]),
         "currency": _currency(g["currency"]),
         "event_time": _instant(g["event_time"]),
     }
+    at = g["event_time"]
+    read = compute_once(
+        fields,
+        **{f"_read_{name}": value for name, value in values.items()},
+        _amount_fits=_amount_fits(g["order_amount"], values["order_amount"]),
+        _zoneless=at.is_string & at.text.rlike(ZONELESS_TIME_REGEX),
+    )
+    clean = {name: F.col(f"_read_{name}") for name in EVENT_COLUMNS}
+    number, fits, zoneless = clean["order_amount"], F.col("_amount_fits"), F.col("_zoneless")
 
     def required(name: str) -> list[Column]:
         return [
@@ -160,7 +186,6 @@ def apply_contract(df: DataFrame, payload: str = "raw_event") -> DataFrame:
     def optional(name: str) -> list[Column]:
         return [F.when(~g[name].absent & clean[name].isNull(), F.lit(f"invalid_{name}"))]
 
-    zoneless = g["event_time"].is_string & g["event_time"].text.rlike(ZONELESS_TIME_REGEX)
     field_codes = [
         *optional("event_id"),
         *required("event_type"),
@@ -174,20 +199,19 @@ def apply_contract(df: DataFrame, payload: str = "raw_event") -> DataFrame:
         F.when(g["order_amount"].absent, F.lit("missing_order_amount")),
         F.when(~g["order_amount"].absent & number.isNull(), F.lit("invalid_order_amount")),
         F.when(number <= 0, F.lit("non_positive_order_amount")),
-        F.when(
-            ~_amount_fits(g["order_amount"], number), F.lit("order_amount_too_many_digits")
-        ),
+        F.when(~fits, F.lit("order_amount_too_many_digits")),
         *optional("currency"),
         F.when(zoneless, F.lit("event_time_without_zone")),
         F.when(
-            ~g["event_time"].absent & clean["event_time"].isNull() & ~zoneless,
+            ~at.absent & clean["event_time"].isNull() & ~F.coalesce(zoneless, F.lit(False)),
             F.lit("invalid_event_time"),
         ),
     ]
-    errors = (
-        F.when(F.col(payload).isNull(), F.array(F.lit("empty_payload")))
-        .when(F.col("_payload").isNull(), F.array(F.lit("invalid_payload")))
-        .otherwise(F.array_compact(F.array(*field_codes)))
+    payload_code = F.when(F.col(payload).isNull(), F.lit("empty_payload")).when(
+        ~F.col("_is_object"), F.lit("invalid_payload")
+    )
+    errors = F.when(payload_code.isNotNull(), F.array(payload_code)).otherwise(
+        F.array_compact(F.array(*field_codes))
     )
     defaults = {
         "event_id": _fresh_id(df),
@@ -198,19 +222,20 @@ def apply_contract(df: DataFrame, payload: str = "raw_event") -> DataFrame:
 
     def settled(name: str) -> Column:
         if name == "order_amount":
-            return F.when(_amount_fits(g[name], number), number.try_cast(AMOUNT))
+            return F.when(fits, number.try_cast(AMOUNT))
         if name in defaults:
             return F.when(g[name].absent, defaults[name]).otherwise(clean[name])
         return clean[name]
 
     carried = [name for name in df.columns if name not in EVENT_COLUMNS]
-    return parsed.select(
+    return read.select(
         *carried,
         errors.alias("contract_errors"),
+        F.coalesce(payload_code, *field_codes).isNull().alias("is_accepted"),
         *[settled(name).alias(name) for name in EVENT_COLUMNS],
     )
 
 
 def accepted(checked: DataFrame) -> DataFrame:
     """Events that meet the contract; everything else is left out."""
-    return checked.filter(F.size("contract_errors") == 0).drop("contract_errors")
+    return checked.filter("is_accepted").drop("is_accepted", "contract_errors")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlake.functions.once import compute_once
 from orderlake.schemas import BRONZE, EVENT, EVENT_COLUMNS
 
 
@@ -26,11 +27,12 @@ def parse_payload(enveloped: DataFrame) -> DataFrame:
     The flag is a test of its own: JSON text may be well formed and still give
     null fields, and lenient field parsing reads text that is not JSON.
     """
-    return enveloped.select(
-        "*",
-        F.from_json("raw_event", EVENT).alias("_event"),
-        F.try_parse_json("raw_event").isNotNull().alias("is_valid_json"),
-    ).select(
+    parsed = compute_once(
+        enveloped,
+        _event=F.from_json("raw_event", EVENT),
+        is_valid_json=F.try_parse_json("raw_event").isNotNull(),
+    )
+    return parsed.select(
         *enveloped.columns,
         *[F.col("_event")[name].alias(name) for name in EVENT_COLUMNS],
         "is_valid_json",

@@ -21,8 +21,12 @@ def order_metrics(
     """
     completed = F.col("event_type") == "order_completed"
     amount = F.when(completed, F.col("order_amount"))
-    return _stamp(
-        _windowed(silver, delay, window, "currency").agg(
+    return _date_and_clock(
+        _per_window(
+            silver,
+            delay,
+            window,
+            ["currency"],
             F.count("*").alias("order_event_count"),
             F.count_if(F.col("event_type") == "order_created").alias("created_order_count"),
             F.count_if(completed).alias("completed_order_count"),
@@ -36,9 +40,13 @@ def status_distribution(
     silver: DataFrame, delay: str = "1 day", window: str = "1 hour"
 ) -> DataFrame:
     """Event count per order status."""
-    return _stamp(
-        _windowed(silver, delay, window, "currency", "order_status").agg(
-            F.count("*").alias("status_event_count")
+    return _date_and_clock(
+        _per_window(
+            silver,
+            delay,
+            window,
+            ["currency", "order_status"],
+            F.count("*").alias("status_event_count"),
         )
     )
 
@@ -49,23 +57,13 @@ def hourly_facts(silver: DataFrame, window: str = "1 hour") -> DataFrame:
     Scanning silver once for this and rolling it up twice replaces two scans of
     the largest table by one.
     """
-    return (
-        silver.groupBy(
-            F.window("event_time", window).alias("_window"),
-            "currency",
-            "order_status",
-            "event_type",
-        )
-        .agg(F.count("*").alias("events"), F.sum("order_amount").alias("amount"))
-        .select(
-            F.col("_window.start").alias("window_start"),
-            F.col("_window.end").alias("window_end"),
-            "currency",
-            "order_status",
-            "event_type",
-            "events",
-            "amount",
-        )
+    return _per_window(
+        silver,
+        None,
+        window,
+        ["currency", "order_status", "event_type"],
+        F.count("*").alias("events"),
+        F.sum("order_amount").alias("amount"),
     )
 
 
@@ -99,19 +97,24 @@ def status_from_facts(facts: DataFrame) -> DataFrame:
     )
 
 
-def _windowed(silver: DataFrame, delay: str, window: str, *keys: str):
-    marked = silver.withWatermark("event_time", delay) if silver.isStreaming else silver
-    return marked.groupBy(F.window("event_time", window).alias("_window"), *keys)
-
+def _per_window(
+    silver: DataFrame, delay: str | None, window: str, keys: list[str], *measures: Column
+) -> DataFrame:
+    """window_start, window_end, keys and measures of each tumbling window.
 
-def _stamp(aggregated: DataFrame) -> DataFrame:
-    others = [name for name in aggregated.columns if name != "_window"]
-    return _date_and_clock(
-        aggregated.select(
-            F.col("_window.start").alias("window_start"),
-            F.col("_window.end").alias("window_end"),
-            *others,
-        )
+    A stream has to group by the whole window for its watermark to close it. In
+    batch the start alone is the smaller key, and the end is the same in a group.
+    """
+    span = F.window("event_time", window)
+    if silver.isStreaming:
+        grouped = silver.withWatermark("event_time", delay).groupBy(span.alias("_w"), *keys)
+        return grouped.agg(*measures).select(
+            F.col("_w.start").alias("window_start"),
+            F.col("_w.end").alias("window_end"),
+            "*",
+        ).drop("_w")
+    return silver.groupBy(span.start.alias("window_start"), *keys).agg(
+        F.min(span.end).alias("window_end"), *measures
     )
 
 
