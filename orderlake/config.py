@@ -23,6 +23,10 @@ class LakeConfig:
     #: Partitions of stateful streaming shuffles; frozen into the checkpoint on
     #: the first run, so size it for peak load. None uses the session's value.
     state_partitions: int | None = None
+    #: Files a silver micro-batch may write per event date. Without a bound every
+    #: state partition writes a file for every date it holds. Some 256 MB per file
+    #: is a good aim; raise it for a backfill that takes all files in one batch.
+    silver_files_per_date: int = 4
     #: How many published generations of the reporting tables stay readable.
     keep_generations: int = 3
 

@@ -49,27 +49,43 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, failing_rows) for each column, from one pass over ``df``."""
-    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return counted.unpivot([], columns, "column_name", "failing_rows")
+def count_failures(df: DataFrame, tests: dict[str, Column]) -> DataFrame:
+    """(name, failing_rows) of each row test, all from one pass over ``df``."""
+    counted = df.agg(*[F.count_if(bad).alias(name) for name, bad in tests.items()])
+    names = [F.col(f"`{name}`") for name in tests]
+    return counted.unpivot([], names, "name", "failing_rows")
 
 
 def not_null(frames: dict[str, DataFrame]) -> DataFrame:
     """(dataset, column_name, failing_rows) of every not-null test."""
     return _union(
         [
-            null_counts(frames[name], columns).select(
-                F.lit(name).alias("dataset"), "column_name", "failing_rows"
+            count_failures(frames[name], {c: F.col(c).isNull() for c in columns}).select(
+                F.lit(name).alias("dataset"),
+                F.col("name").alias("column_name"),
+                "failing_rows",
             )
             for name, columns in NOT_NULL_COLUMNS.items()
         ]
     )
 
 
+def _unknown_status() -> Column:
+    return ~F.col("order_status").isin(ORDER_STATUSES)
+
+
+def _negative() -> Column:
+    return reduce(Column.__or__, [F.col(name) < 0 for name in NON_NEGATIVE_COLUMNS])
+
+
+def _not_reconciled() -> Column:
+    total = reduce(Column.__add__, [F.col(c) for c in STATUS_COUNT_COLUMN.values()])
+    return F.col("order_event_count") != total
+
+
 def unknown_statuses(status_table: DataFrame) -> DataFrame:
     """Rows with a status outside the contract; a null status is no value."""
-    return status_table.filter(~F.col("order_status").isin(ORDER_STATUSES))
+    return status_table.filter(_unknown_status())
 
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -96,14 +112,12 @@ def repeated_mart_grains(mart: DataFrame) -> DataFrame:
 
 def negative_measures(mart: DataFrame) -> DataFrame:
     """Mart rows where any count or the revenue is below zero."""
-    below = [F.col(name) < 0 for name in NON_NEGATIVE_COLUMNS]
-    return mart.filter(reduce(Column.__or__, below))
+    return mart.filter(_negative())
 
 
 def unreconciled(mart: DataFrame) -> DataFrame:
     """Mart rows whose status counts do not add up to the event count."""
-    total = reduce(Column.__add__, [F.col(c) for c in STATUS_COUNT_COLUMN.values()])
-    return mart.filter(F.col("order_event_count") != total)
+    return mart.filter(_not_reconciled())
 
 
 # -- table constraints ----------------------------------------------------------
@@ -171,8 +185,7 @@ def constraint_violations(
     The row constraints share one pass. The key is counted by a grouped pass that
     combines before its shuffle; a repeated key counts once.
     """
-    named = df.agg(*[F.count_if(bad).alias(name) for name, bad in checks.items()])
-    rows = named.unpivot([], [F.col(f"`{n}`") for n in checks], "constraint_name", "failing_rows")
+    rows = count_failures(df, checks).withColumnRenamed("name", "constraint_name")
     repeated = repeated_keys(df, key).agg(F.count("*").alias("failing_rows"))
     return rows.unionByName(
         repeated.select(F.lit(f"unique {','.join(key)}").alias("constraint_name"), "failing_rows")
@@ -201,29 +214,35 @@ class QualityError(RuntimeError):
 def run_suite(frames: dict[str, DataFrame]) -> DataFrame:
     """All 24 tests as (test_name, failing_rows, passed).
 
-    ``frames`` holds the datasets named in NOT_NULL_COLUMNS.
+    ``frames`` holds the datasets named in NOT_NULL_COLUMNS. All tests on the rows
+    of a dataset share one pass over it; only the uniqueness tests group.
     """
-    metrics = frames["order_metrics_hourly"]
-    status = frames["order_status_hourly"]
-    mart = frames["fct_hourly_commerce_metrics"]
-    nulls = not_null(frames).select(
-        F.concat_ws("_", F.lit("not_null"), "dataset", "column_name").alias("test_name"),
-        "failing_rows",
+    by_row = {
+        dataset: {f"not_null_{dataset}_{c}": F.col(c).isNull() for c in columns}
+        for dataset, columns in NOT_NULL_COLUMNS.items()
+    }
+    by_row["order_status_hourly"]["accepted_values_order_status_hourly_order_status"] = (
+        _unknown_status()
     )
-    by_rows = {
-        "accepted_values_order_status_hourly_order_status": unknown_statuses(status),
-        "source_grains_are_unique": repeated_source_grains(metrics, status),
-        "mart_grain_is_unique": repeated_mart_grains(mart),
-        "metrics_are_non_negative": negative_measures(mart),
-        "status_counts_reconcile": unreconciled(mart),
+    by_row["fct_hourly_commerce_metrics"]["metrics_are_non_negative"] = _negative()
+    by_row["fct_hourly_commerce_metrics"]["status_counts_reconcile"] = _not_reconciled()
+    grouped = {
+        "source_grains_are_unique": repeated_source_grains(
+            frames["order_metrics_hourly"], frames["order_status_hourly"]
+        ),
+        "mart_grain_is_unique": repeated_mart_grains(frames["fct_hourly_commerce_metrics"]),
     }
-    counted = [
+    parts = [count_failures(frames[dataset], tests) for dataset, tests in by_row.items()] + [
         failing.agg(F.count("*").alias("failing_rows")).select(
-            F.lit(name).alias("test_name"), "failing_rows"
+            F.lit(name).alias("name"), "failing_rows"
         )
-        for name, failing in by_rows.items()
+        for name, failing in grouped.items()
     ]
-    return _union([nulls, *counted]).withColumn("passed", F.col("failing_rows") == 0)
+    return _union(parts).select(
+        F.col("name").alias("test_name"),
+        "failing_rows",
+        (F.col("failing_rows") == 0).alias("passed"),
+    )
 
 
 def require_passing(suite: DataFrame) -> None:

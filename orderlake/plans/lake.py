@@ -9,7 +9,7 @@ from orderlake.operators.bronze import to_bronze
 from orderlake.operators.gold import hourly_facts, metrics_from_facts, status_from_facts
 from orderlake.operators.silver import to_quarantine, to_silver
 from orderlake.schemas import BRONZE, SILVER
-from orderlake.sources.readers import scan, stream_kafka
+from orderlake.sources.readers import ensure_dataset, scan, stream_kafka
 from orderlake.sources.sinks import write_partitioned
 from orderlake.streaming.lake import start_bronze, start_gold, start_silver
 from orderlake.streaming.runner import finish, wait_for_any
@@ -25,9 +25,7 @@ def run_lake(
     """Run all streaming hops; ``messages`` defaults to the Kafka topic.
 
     Bounded: each hop works off its input and ends before the next one starts.
-    Otherwise all hops run side by side until one of them ends. A hop that reads
-    files needs its folder, so the first batch of the hop before must be out;
-    bounded runs once are the simplest way to get there.
+    Otherwise all hops run side by side until one of them ends.
     """
     if messages is None:
         messages = stream_kafka(spark, config.bootstrap_servers, config.topic)
@@ -36,6 +34,8 @@ def run_lake(
         finish(*start_silver(spark, config, bounded=True))
         finish(*start_gold(spark, config, bounded=True))
         return
+    ensure_dataset(spark, config.bronze, BRONZE, "ingestion_date")
+    ensure_dataset(spark, config.silver, SILVER, "event_date")
     spark.streams.resetTerminated()
     queries = [
         start_bronze(messages, config),

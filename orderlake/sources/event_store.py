@@ -6,7 +6,7 @@ event date; only the id column is read to find out what is already there.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
@@ -68,17 +68,20 @@ def insert_if_absent(
     delivery = ["kafka_timestamp", "kafka_topic", "kafka_partition", "kafka_offset"]
     present = [F.col(name) for name in delivery if name in events.columns]
     first = keep_first(events, ["event_id"], present or [F.col("event_time")])
-    store_rows(first).write.mode("overwrite").parquet(staging)
+    store_rows(first).write.mode("overwrite").parquet(f"{staging}/batch")
 
     # Read back in the caller's session: inside a stream the batch's own session
-    # runs without adaptive execution. The count comes from the file footers.
-    rows = scan(spark, staging, EVENT_STORE)
-    fresh = absent_rows(
-        read_store(spark, path), rows, broadcast_ids=rows.count() <= broadcast_limit
-    )
-    inserted = Observation()
-    dated = fresh.observe(inserted, F.count("*").alias("n")).withColumn(
-        "event_date", F.to_date("event_time")
-    )
-    write_partitioned(dated, path, "event_date", mode="append")
-    return inserted.get["n"]
+    # runs without adaptive execution. Counts come from the file footers.
+    rows = scan(spark, f"{staging}/batch", EVENT_STORE)
+    small = rows.count() <= broadcast_limit
+    fresh = absent_rows(read_store(spark, path), rows, broadcast_ids=small)
+    fresh.write.mode("overwrite").parquet(f"{staging}/fresh")
+
+    # Appending from the staged rows keeps the time short in which a crash could
+    # leave the batch half there.
+    absent = scan(spark, f"{staging}/fresh", EVENT_STORE)
+    inserted = absent.count()
+    if inserted:
+        dated = absent.withColumn("event_date", F.to_date("event_time"))
+        write_partitioned(dated, path, "event_date", mode="append")
+    return inserted

@@ -60,6 +60,19 @@ def scan_if_available(spark: SparkSession, path: str, schema: StructType) -> Dat
         return spark.createDataFrame([], schema)
 
 
+def ensure_dataset(
+    spark: SparkSession, path: str, schema: StructType, partition_column: str
+) -> None:
+    """Make an empty dataset where none is, so that a stream can start on it."""
+    try:
+        scan(spark, path, schema)
+    except AnalysisException as error:
+        if error.getCondition() != _NO_PATH:
+            raise
+        empty = spark.createDataFrame([], schema)
+        empty.write.mode("append").partitionBy(partition_column).parquet(path)
+
+
 def scan_pruned(
     spark: SparkSession,
     path: str,

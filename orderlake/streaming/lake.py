@@ -14,7 +14,7 @@ from orderlake.operators.silver import to_quarantine, to_silver
 from orderlake.schemas import BRONZE, SILVER
 from orderlake.sources.event_store import insert_if_absent, store_rows
 from orderlake.sources.readers import stream_parquet
-from orderlake.streaming.runner import start_batches, start_files
+from orderlake.streaming.runner import gather, start_batches, start_files
 
 
 def start_bronze(
@@ -40,8 +40,9 @@ def start_silver(
     columns; silver never touches the raw text.
     """
     bronze = stream_parquet(spark, config.bronze, BRONZE, config.max_files_per_trigger)
+    valid = to_silver(bronze, config.silver_delay)
     silver = start_files(
-        to_silver(bronze, config.silver_delay),
+        gather(valid, "event_date", config.silver_files_per_date, split_by="event_id"),
         config,
         name="silver_orders",
         path=config.silver,
@@ -70,7 +71,13 @@ def start_gold(
     }
     return [
         start_files(
-            build(silver, config.gold_delay, config.window),
+            # A date holds windows times currencies at most: one file will do.
+            gather(
+                build(silver, config.gold_delay, config.window),
+                "window_date",
+                files=1,
+                split_by="currency",
+            ),
             config,
             name=name,
             path=path,
@@ -98,9 +105,11 @@ def start_event_store(
     """
     events = accepted(apply_contract(envelope(messages)))
     if ids_in_state:
-        rows = store_rows(events.dropDuplicates(["event_id"]))
+        rows = store_rows(events.dropDuplicates(["event_id"])).withColumn(
+            "event_date", F.to_date("event_time")
+        )
         return start_files(
-            rows.withColumn("event_date", F.to_date("event_time")),
+            gather(rows, "event_date", config.silver_files_per_date, split_by="event_id"),
             config,
             name="event_store",
             path=config.event_store,

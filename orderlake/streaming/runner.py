@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from orderlake.config import LakeConfig
@@ -25,6 +26,17 @@ def _start(spark: SparkSession, config: LakeConfig, writer: DataStreamWriter) ->
         return writer.start()
 
 
+def gather(df: DataFrame, date_column: str, files: int, split_by: str) -> DataFrame:
+    """Bring the rows of a date to at most ``files`` tasks, and so to as many files.
+
+    The split by a hash keeps a date that holds much of a batch from ending up in
+    a single task.
+    """
+    if files == 1:
+        return df.repartition(date_column)
+    return df.repartition(date_column, F.pmod(F.xxhash64(split_by), F.lit(files)))
+
+
 def start_files(
     df: DataFrame,
     config: LakeConfig,
