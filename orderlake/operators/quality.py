@@ -196,12 +196,23 @@ class ConstraintError(ValueError):
     """Raised before a write that would break a table constraint."""
 
 
-def enforce(df: DataFrame, checks: dict[str, Column], key: list[str], table: str) -> None:
-    """Raise unless ``df`` may be written to ``table``."""
-    broken = constraint_violations(df, checks, key).filter("failing_rows > 0").collect()
+def enforce(tables: dict[str, tuple[DataFrame, dict[str, Column], list[str]]]) -> None:
+    """Raise unless each frame may be written to the table it is named for.
+
+    ``tables`` maps a name to its rows, row constraints and key.
+    """
+    found = _union(
+        [
+            constraint_violations(df, checks, key).withColumn("table_name", F.lit(name))
+            for name, (df, checks, key) in tables.items()
+        ]
+    )
+    broken = found.filter("failing_rows > 0").collect()
     if broken:
-        detail = ", ".join(f"{r.constraint_name}: {r.failing_rows}" for r in broken)
-        raise ConstraintError(f"{table}: {detail}")
+        detail = ", ".join(
+            f"{r.table_name}: {r.constraint_name} ({r.failing_rows})" for r in broken
+        )
+        raise ConstraintError(detail)
 
 
 # -- the suite ------------------------------------------------------------------

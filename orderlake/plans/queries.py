@@ -48,7 +48,7 @@ from orderlake.schemas import (
     STATUS_TABLE,
     conform,
 )
-from orderlake.session import is_local, scratch_path
+from orderlake.session import is_local, scratch_path, spread_if_narrow
 from orderlake.sources.catalog import register_views, table_row_counts
 from orderlake.sources.event_store import insert_if_absent, read_store
 from orderlake.sources.readers import scan, scan_pruned, stream_parquet
@@ -107,11 +107,15 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testbed.messages(_raw(spark, sf_dir))
+    return testbed.messages(spread_if_narrow(_raw(spark, sf_dir)))
 
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testbed.messages(testbed.stream_events(spark, sf_dir))
+    """A topic has as many partitions as it needs; a single local file has one."""
+    raw = testbed.stream_events(spark, sf_dir)
+    if is_local(spark):
+        raw = raw.repartition(spark.sparkContext.defaultParallelism)
+    return testbed.messages(raw)
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ from orderlake.schemas import (
 )
 from orderlake.sources.published import (
     commit_generation,
+    current_generation,
     read_published,
     stage_tables,
 )
@@ -54,21 +55,22 @@ def load_reporting_tables(
 
     ``since`` limits the gold input to windows from that date on.
     """
-    keep = config.keep_generations
-    held = {
-        METRICS: read_published(spark, _tables(config), METRICS, METRICS_TABLE, keep),
-        STATUS: read_published(spark, _tables(config), STATUS, STATUS_TABLE, keep),
-    }
-    gold_metrics = _gold(spark, config.gold_metrics, GOLD_METRICS, since)
-    gold_status = _gold(spark, config.gold_status, GOLD_STATUS, since)
+    root, keep = _tables(config), config.keep_generations
+    last = current_generation(spark, root)
+    metrics = read_published(spark, root, METRICS, METRICS_TABLE, keep, last)
+    status = read_published(spark, root, STATUS, STATUS_TABLE, keep, last)
     merged = {
-        METRICS: upsert_metrics(held[METRICS], gold_metrics),
-        STATUS: upsert_status(held[STATUS], gold_status),
+        METRICS: upsert_metrics(metrics, _gold(spark, config.gold_metrics, GOLD_METRICS, since)),
+        STATUS: upsert_status(status, _gold(spark, config.gold_status, GOLD_STATUS, since)),
     }
-    generation, staged = stage_tables(spark, _tables(config), merged, keep)
-    enforce(staged[METRICS], metrics_constraints(), METRICS_KEY, METRICS)
-    enforce(staged[STATUS], status_constraints(), STATUS_KEY, STATUS)
-    commit_generation(spark, _tables(config), generation)
+    staged = stage_tables(spark, root, last + 1, merged, keep)
+    enforce(
+        {
+            METRICS: (staged[METRICS], metrics_constraints(), METRICS_KEY),
+            STATUS: (staged[STATUS], status_constraints(), STATUS_KEY),
+        }
+    )
+    commit_generation(spark, root, last + 1)
     return staged
 
 
@@ -94,11 +96,13 @@ def refresh_marts(
     """
     tables = load_reporting_tables(spark, config, since)
     frames = reporting_frames(tables[METRICS], tables[STATUS])
-    generation, staged = stage_tables(
-        spark, _marts(config), {MART: frames[MART]}, config.keep_generations
+    root = _marts(config)
+    generation = current_generation(spark, root) + 1
+    staged = stage_tables(
+        spark, root, generation, {MART: frames[MART]}, config.keep_generations
     )
     require_passing(run_suite({**frames, MART: staged[MART]}))
-    commit_generation(spark, _marts(config), generation)
+    commit_generation(spark, root, generation)
     return staged[MART]
 
 

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job of this package relies on or profits from.
 SESSION_SETTINGS = {
@@ -21,6 +21,8 @@ SESSION_SETTINGS = {
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Call-site capture for error messages; it makes building wide plans slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -62,6 +64,17 @@ def is_local(spark: SparkSession) -> bool:
     return spark.conf.get("spark.master", "").startswith("local")
 
 
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Give a batch input at least one task per core.
+
+    Only an input that splits into fewer tasks than there are cores is shuffled,
+    such as one Parquet file of a single row group. Parsing it would keep one core
+    busy. An input of real size passes as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 @contextmanager
 def session_settings(spark: SparkSession, settings: dict[str, str]):
     """Set session options for the body only, then put the old ones back.

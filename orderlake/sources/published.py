@@ -12,6 +12,8 @@ number of events.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -34,28 +36,47 @@ def _folder(root: str, generation: int, keep: int, table: str) -> str:
 
 
 def read_published(
-    spark: SparkSession, root: str, table: str, schema: StructType, keep: int = 3
+    spark: SparkSession,
+    root: str,
+    table: str,
+    schema: StructType,
+    keep: int = 3,
+    generation: int | None = None,
 ) -> DataFrame:
-    """The table as last committed; no rows before the first commit."""
-    generation = current_generation(spark, root)
+    """The table as last committed; no rows before the first commit.
+
+    ``generation`` saves looking the number up again for each of several tables,
+    and makes sure they belong together.
+    """
+    if generation is None:
+        generation = current_generation(spark, root)
     if generation == 0:
         return spark.createDataFrame([], schema)
     return scan(spark, _folder(root, generation, keep, table), schema)
 
 
 def stage_tables(
-    spark: SparkSession, root: str, frames: dict[str, DataFrame], keep: int = 3
-) -> tuple[int, dict[str, DataFrame]]:
-    """Write the next generation without showing it to readers."""
+    spark: SparkSession,
+    root: str,
+    generation: int,
+    frames: dict[str, DataFrame],
+    keep: int = 3,
+) -> dict[str, DataFrame]:
+    """Write a generation without showing it to readers.
+
+    The tables are independent jobs, so they are submitted side by side.
+    """
     if keep < 2:
         raise ValueError("keep at least two generations")
-    generation = current_generation(spark, root) + 1
-    staged = {}
-    for name, df in frames.items():
+
+    def write(item: tuple[str, DataFrame]) -> tuple[str, DataFrame]:
+        name, df = item
         folder = _folder(root, generation, keep, name)
         df.write.mode("overwrite").parquet(folder)
-        staged[name] = scan(spark, folder, df.schema)
-    return generation, staged
+        return name, scan(spark, folder, df.schema)
+
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        return dict(pool.map(write, frames.items()))
 
 
 def commit_generation(spark: SparkSession, root: str, generation: int) -> None:

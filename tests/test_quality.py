@@ -68,7 +68,7 @@ def test_each_fault_is_found(frames, index):
 def test_constraints(frames):
     metrics = frames[METRICS]
     checks = quality.metrics_constraints()
-    quality.enforce(metrics, checks, METRICS_KEY, METRICS)
+    quality.enforce({METRICS: (metrics, checks, METRICS_KEY)})
     for spoiled, text in [
         (metrics.withColumn("window_end", F.col("window_start")), "window_end > window_start"),
         (change(metrics, "created_order_count", -1), "created_order_count >= 0"),
@@ -76,7 +76,7 @@ def test_constraints(frames):
         (metrics.unionByName(metrics), "unique window_start,currency"),
     ]:
         with pytest.raises(quality.ConstraintError, match=text):
-            quality.enforce(spoiled, checks, METRICS_KEY, METRICS)
+            quality.enforce({METRICS: (spoiled, checks, METRICS_KEY)})
 
 
 def test_store_constraints(spark):

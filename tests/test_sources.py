@@ -98,7 +98,8 @@ def test_tables_appear_together(spark, tmp_path):
     schema = numbers(spark, 1).schema
     assert current_generation(spark, root) == 0
     assert read_published(spark, root, "a", schema).count() == 0
-    generation, _ = stage_tables(spark, root, {"a": numbers(spark, 3), "b": numbers(spark, 4)})
+    generation = current_generation(spark, root) + 1
+    stage_tables(spark, root, generation, {"a": numbers(spark, 3), "b": numbers(spark, 4)})
     assert read_published(spark, root, "a", schema).count() == 0
     commit_generation(spark, root, generation)
     assert read_published(spark, root, "a", schema).count() == 3
@@ -108,14 +109,16 @@ def test_tables_appear_together(spark, tmp_path):
 def test_failed_second_table_leaves_the_old_pair(spark, tmp_path):
     root = str(tmp_path / "pub")
     schema = numbers(spark, 1).schema
-    generation, _ = stage_tables(spark, root, {"a": numbers(spark, 1), "b": numbers(spark, 1)})
+    generation = current_generation(spark, root) + 1
+    stage_tables(spark, root, generation, {"a": numbers(spark, 1), "b": numbers(spark, 1)})
     commit_generation(spark, root, generation)
     boom = numbers(spark, 1).select(F.raise_error(F.lit("boom")).cast("bigint").alias("id"))
     with pytest.raises(Exception, match="boom"):
-        stage_tables(spark, root, {"a": numbers(spark, 2), "b": boom})
+        stage_tables(spark, root, 2, {"a": numbers(spark, 2), "b": boom})
     assert read_published(spark, root, "a", schema).count() == 1
     assert read_published(spark, root, "b", schema).count() == 1
-    generation, _ = stage_tables(spark, root, {"a": numbers(spark, 2), "b": numbers(spark, 2)})
+    generation = current_generation(spark, root) + 1
+    stage_tables(spark, root, generation, {"a": numbers(spark, 2), "b": numbers(spark, 2)})
     commit_generation(spark, root, generation)
     assert read_published(spark, root, "a", schema).count() == 2
 
@@ -125,7 +128,8 @@ def test_reading_while_replacing_and_ring_reuse(spark, tmp_path):
     schema = numbers(spark, 1).schema
     for n in range(1, 6):
         held = read_published(spark, root, "a", schema)
-        generation, _ = stage_tables(spark, root, {"a": held.unionByName(numbers(spark, 1))})
+        generation = current_generation(spark, root) + 1
+        stage_tables(spark, root, generation, {"a": held.unionByName(numbers(spark, 1))})
         commit_generation(spark, root, generation)
         assert read_published(spark, root, "a", schema).count() == n
     assert sorted(p.name for p in (tmp_path / "pub").glob("slot*")) == ["slot0", "slot1", "slot2"]
