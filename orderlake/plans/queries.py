@@ -48,7 +48,7 @@ from orderlake.schemas import (
     STATUS_TABLE,
     conform,
 )
-from orderlake.session import is_local, scratch_path, spread_if_narrow
+from orderlake.session import is_local, scratch_path
 from orderlake.sources.catalog import register_views, table_row_counts
 from orderlake.sources.event_store import insert_if_absent, read_store
 from orderlake.sources.readers import scan, scan_pruned, stream_parquet
@@ -106,18 +106,26 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testbed.order_events(_raw(spark, sf_dir))
 
 
-def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testbed.messages(spread_if_narrow(_raw(spark, sf_dir)))
-
+def _topic(raw: DataFrame) -> DataFrame:
+    """Messages of the events, spread like a topic over several partitions.
 
-def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A topic has as many partitions as it needs; a single local file has one."""
-    raw = testbed.stream_events(spark, sf_dir)
+    Only a local table needs it: one file of one row group is one task, and would
+    be parsed on one core. On a cluster the scan has its own splits.
+    """
+    spark = raw.sparkSession
     if is_local(spark):
         raw = raw.repartition(spark.sparkContext.defaultParallelism)
     return testbed.messages(raw)
 
 
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _topic(_raw(spark, sf_dir))
+
+
+def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _topic(testbed.stream_events(spark, sf_dir))
+
+
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze as the dataset it is: written once, then read with pushdown.
 

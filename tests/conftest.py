@@ -13,8 +13,8 @@ from orderlake.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "orderlake-tests",
-        master="local[8]",
-        shuffle_partitions=8,
+        master="local[4]",
+        shuffle_partitions=4,
         extra={
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
