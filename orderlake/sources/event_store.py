@@ -12,7 +12,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from orderlake.functions.wire import event_json
 from orderlake.operators.dedup import keep_first
-from orderlake.schemas import EVENT_STORE, conform
+from orderlake.schemas import EVENT_COLUMNS, EVENT_STORE, conform
 from orderlake.sources.readers import scan, scan_if_available
 from orderlake.sources.sinks import write_partitioned
 
@@ -67,7 +67,8 @@ def insert_if_absent(
     """
     delivery = ["kafka_timestamp", "kafka_topic", "kafka_partition", "kafka_offset"]
     present = [F.col(name) for name in delivery if name in events.columns]
-    first = keep_first(events, ["event_id"], present or [F.col("event_time")])
+    by_content = [F.col(name) for name in ("event_time", *EVENT_COLUMNS)]
+    first = keep_first(events, ["event_id"], present or by_content)
     store_rows(first).write.mode("overwrite").parquet(f"{staging}/batch")
 
     # Read back in the caller's session: inside a stream the batch's own session

@@ -101,6 +101,23 @@ def test_hot_key_is_cut_down_before_the_shuffle(spark):
     assert kept.first().id == 0
 
 
+def test_dedup_with_a_third_of_all_rows_under_one_id(spark, events):
+    """Against brute force in plain Python, copies told apart by their offset."""
+    hot = events.withColumn("event_id", F.lit("hot")).withColumn(
+        "kafka_offset", F.col("kafka_offset") + 7
+    )
+    mixed = events.unionByName(testbed.redeliver(events)).unionByName(hot).repartition(16)
+    expected = {}
+    for r in mixed.select("event_id", "kafka_timestamp", "kafka_partition", "kafka_offset").collect():
+        place = (r.kafka_timestamp, r.kafka_partition, r.kafka_offset)
+        expected[r.event_id] = min(expected.get(r.event_id, place), place)
+    got = {
+        r.event_id: (r.kafka_timestamp, r.kafka_partition, r.kafka_offset)
+        for r in dedup_events(mixed, "7 days").collect()
+    }
+    assert got == expected and len(got) == events.count() + 1
+
+
 def test_filter_does_not_repeat_the_parse(spark):
     text = plan(to_silver(bronze(spark, [event()])), "simple")
     assert text.count("from_json(") == 1
@@ -115,7 +132,7 @@ def test_validity_reaches_the_scan(spark, tmp_path):
     assert "raw_event" not in text
 
 
-def test_silver_dedup_ignores_streams_only_option(events):
+def test_batch_dedup_removes_redeliveries(events):
     assert dedup_events(testbed.redeliver(events), "7 days").count() == events.count()
 
 
