@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlake.llm import oracles
+from orderlake.llm.quality_rules import RULE_COLUMNS, apply_rules
 from orderlake.llm.simhash import simhash_components
 from orderlake.llm.tables import read_table
 
@@ -22,3 +24,13 @@ def _query(function: Callable[[SparkSession, str], DataFrame]):
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     return simhash_components(read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the quality rules for every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return apply_rules(docs).select("doc_id", *[c for c in RULE_COLUMNS if c != "clean_text"])
+
+
+LLM_ORACLES["op6_quality_rules"] = oracles.QUALITY_RULES
