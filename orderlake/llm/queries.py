@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlake.llm import oracles
+from orderlake.llm.quality_cnn import classify_quality
 from orderlake.llm.quality_rules import RULE_COLUMNS, apply_rules
 from orderlake.llm.simhash import simhash_components
 from orderlake.llm.tables import read_table
@@ -26,6 +27,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op3_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels that are not held out."""
+    return classify_quality(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    )
+
+
 @_query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the quality rules for every document."""
