@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlake.llm import oracles
+from orderlake.llm.piece_tokens import piece_digests
 from orderlake.llm.quality_cnn import classify_quality
 from orderlake.llm.quality_rules import RULE_COLUMNS, apply_rules
 from orderlake.llm.simhash import simhash_components
@@ -43,3 +45,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_ORACLES["op6_quality_rules"] = oracles.QUALITY_RULES
+
+
+@_query
+def op9_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's SentencePiece ids and of the text decoded from them."""
+    return piece_digests(
+        read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
