@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlake.llm import oracles
+from orderlake.llm.language_id import identify_languages
 from orderlake.llm.piece_tokens import piece_digests
 from orderlake.llm.quality_cnn import classify_quality
 from orderlake.llm.quality_rules import RULE_COLUMNS, apply_rules
@@ -47,6 +48,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_ORACLES["op6_quality_rules"] = oracles.QUALITY_RULES
 
 
+@_query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    return identify_languages(read_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op9_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's SentencePiece ids and of the text decoded from them."""
