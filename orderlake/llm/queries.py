@@ -14,6 +14,8 @@ from orderlake.llm.quality_cnn import classify_quality
 from orderlake.llm.quality_rules import RULE_COLUMNS, apply_rules
 from orderlake.llm.simhash import simhash_components
 from orderlake.llm.tables import read_table
+from orderlake.llm.token_files import token_digests, write_token_files
+from orderlake.session import scratch_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -48,6 +50,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_ORACLES["op6_quality_rules"] = oracles.QUALITY_RULES
 
 
+@_query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place and checksum of every document's ids, read back from the files written."""
+    path = scratch_path(spark, "token-files")
+    write_token_files(
+        read_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json")
+    )
+    return token_digests(spark, path)
+
+
 @_query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
