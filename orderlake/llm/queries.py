@@ -15,6 +15,7 @@ from orderlake.llm.quality_rules import RULE_COLUMNS, apply_rules
 from orderlake.llm.simhash import simhash_components
 from orderlake.llm.tables import read_table
 from orderlake.llm.token_files import token_digests, write_token_files
+from orderlake.llm.vector_dedup import similar_vectors
 from orderlake.session import scratch_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +41,12 @@ def op3_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return similar_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the quality rules for every document."""
