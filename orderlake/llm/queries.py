@@ -14,11 +14,15 @@ from orderlake.llm.piece_tokens import piece_digests
 from orderlake.llm.quality_cnn import classify_quality
 from orderlake.llm.quality_rules import RULE_COLUMNS, apply_rules
 from orderlake.llm.simhash import simhash_components
+from orderlake.llm.surrogates import replace_entities
 from orderlake.llm.tables import read_table
 from orderlake.llm.token_files import token_digests, write_token_files
 from orderlake.llm.vector_dedup import similar_vectors
 from orderlake.session import scratch_path
 
+#: Key of the registered query's surrogates; users bring a secret of their own.
+SURROGATE_KEY = "orderlake"
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
 
@@ -86,3 +90,10 @@ def op9_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(
         read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
     )
+
+
+@_query
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates in place of its personal data."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_entities(docs, SURROGATE_KEY)
