@@ -1,9 +1,11 @@
 """The native operators once more, as SQL over the given tables.
 
-Patterns are repeated here on purpose: SQL that took them from the operators would
-share their mistakes.
+Patterns and steps are repeated here on purpose: SQL that took them from the operators
+would share their mistakes. Only the phrases and templates are the operators' own.
 """
 
+from orderlake.llm.license_scan import BASE_PHRASES, TEMPLATES
+
 _SPACE = r"[ \x09-\x0D]+"
 
 QUALITY_RULES = rf"""
@@ -55,3 +57,69 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 100 * lost_chars > 30 * word_chars) AS kept
 FROM counted
 """
+
+
+def _words(text: str) -> str:
+    return "[" + ", ".join(f"'{word}'" for word in text.split()) + "]"
+
+
+_TEMPLATES = ",\n".join(
+    f"({i}, '{label}', {_words(notice)}, {_words(phrase)})"
+    for i, (label, notice, phrase) in enumerate(TEMPLATES)
+)
+_BASE = ",\n".join(f"('{label}', {_words(phrase)})" for label, phrase in BASE_PHRASES)
+
+LICENSE_SCAN = rf"""
+WITH templates(t, label, notice, phrase) AS (VALUES
+{_TEMPLATES}
+), base(label, phrase) AS (VALUES
+{_BASE}
+), docs AS (
+    SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM documents
+), notices AS (
+    SELECT t, word, p - 1 AS p FROM (
+        SELECT t, unnest(notice) AS word, unnest(range(1, len(notice) + 1)) AS p FROM templates)
+), places AS (
+    SELECT r, word, i - 1 AS i FROM (
+        SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM docs)
+    WHERE word IN (SELECT word FROM notices)
+), frequency AS (
+    SELECT word, count(DISTINCT r) AS n FROM places GROUP BY word
+), possible AS (
+    SELECT r, t FROM docs JOIN templates ON list_has_all(w, phrase)
+), rare AS (
+    SELECT r, t, word
+    FROM possible JOIN (SELECT DISTINCT t, word FROM notices) USING (t)
+    JOIN (SELECT DISTINCT r, word FROM places) USING (r, word) JOIN frequency USING (word)
+    QUALIFY row_number() OVER (PARTITION BY r, t ORDER BY n, word) <= 2
+), beginnings AS (
+    SELECT DISTINCT r, t, i - p AS o
+    FROM rare JOIN places USING (r, word) JOIN notices USING (t, word)
+), verified AS (
+    SELECT r, label, len(list_filter(range(1, len(notice) + 1),
+               lambda i: o + i >= 1 AND w[o + i] = notice[i]))::DOUBLE / len(notice) AS share
+    FROM beginnings JOIN docs USING (r) JOIN templates USING (t)
+    WHERE len(list_filter(range(1, len(notice) - len(phrase) + 2), lambda i:
+        notice[i : i + len(phrase) - 1] = phrase AND o + i >= 1
+        AND w[o + i : o + i + len(phrase) - 1] = phrase)) > 0
+), more AS (
+    SELECT r, list(label) AS labels, max(share) AS share FROM verified WHERE share >= 0.5 GROUP BY r
+), stood AS (
+    SELECT r, label, i FROM (
+        SELECT r, w, label, phrase, unnest(range(1, len(w) + 1)) AS i
+        FROM docs JOIN base ON list_has_all(w, phrase))
+    WHERE w[i : i + len(phrase) - 1] = phrase
+), based AS (
+    SELECT r, count(*) AS n, min(i) - 1 AS first_word, max(i) - 1 AS last_word, list(label) AS labels
+    FROM stood GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(list_distinct(based.labels)), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(
+           list_concat(coalesce(based.labels, []), coalesce(more.labels, [])))), ','), '') AS labels,
+       CASE WHEN n > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+FROM docs LEFT JOIN based USING (r) LEFT JOIN more USING (r)
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlake.llm import oracles
 from orderlake.llm.language_id import identify_languages
+from orderlake.llm.license_scan import scan_licenses
 from orderlake.llm.packing import pack_documents
 from orderlake.llm.piece_tokens import piece_digests
 from orderlake.llm.quality_cnn import classify_quality
@@ -52,6 +53,15 @@ def op3_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and labels of every document."""
+    return scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+LLM_ORACLES["op4_license_scan"] = oracles.LICENSE_SCAN
+
+
 @_query
 def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector."""
