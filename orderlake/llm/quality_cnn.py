@@ -24,9 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, IntegerType
+from pyspark.sql.types import DoubleType, IntegerType, StructType
 
-from orderlake.llm.tables import crc_part, fields, id_type
+from orderlake.llm.tables import crc_part, fields
 
 WIDTH = 5
 FILTERS = 8
@@ -234,6 +234,29 @@ def labelled_sample(
     return sample
 
 
+def add_scores(
+    docs: DataFrame, net: Network, threshold: float = 0.3, text_col: str = "text"
+) -> DataFrame:
+    """All rows and columns of ``docs`` with ``score`` and ``predicted`` behind them.
+
+    A null text is scored as an empty one. Rows that repeat are scored one by one; keys
+    are not looked at. Columns of ``docs`` of these two names give way.
+    """
+    passed = [c for c in docs.columns if c not in ("score", "predicted") or c == text_col]
+    rows = docs.select(F.col(f"`{text_col}`").cast("binary").alias("_scored"), *[f"`{c}`" for c in passed])
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            scores = np.array([score(net, x.as_py()) for x in part.column(0)], np.float64)
+            found = [pa.array(scores), pa.array((scores >= threshold).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[1:], *found], names=[*part.schema.names[1:], "score", "predicted"]
+            )
+
+    added = fields(("score", DoubleType()), ("predicted", IntegerType()))
+    return rows.mapInArrow(batches, StructType([*rows.schema.fields[1:], *added.fields]))
+
+
 def score_documents(
     docs: DataFrame,
     net: Network,
@@ -243,39 +266,16 @@ def score_documents(
     folds: int = 5,
     held_out: int = 0,
 ) -> DataFrame:
-    """(id_col, held_out, score, predicted) of every row of ``docs``.
+    """(id_col, held_out, score, predicted) of every row of ``docs``, as in add_scores.
 
-    A null text is scored as an empty one. A null id was never learned from and counts
-    as held out. Rows that repeat are scored one by one; other columns are not looked at.
+    A null id was never learned from and counts as held out.
     """
-
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            scores = np.array([score(net, x.as_py()) for x in part.column(2)], np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0),
-                    part.column(1),
-                    pa.array(scores),
-                    pa.array((scores >= threshold).astype(np.int32)),
-                ],
-                names=[id_col, "held_out", "score", "predicted"],
-            )
-
     rows = docs.select(
-        F.col(id_col).alias("id"),
+        F.col(id_col),
         F.coalesce(crc_part(id_col, folds) == held_out, F.lit(True)).alias("held_out"),
-        F.col(text_col).cast("binary").alias("text"),
-    )
-    return rows.mapInArrow(
-        batches,
-        fields(
-            (id_col, id_type(docs, id_col)),
-            ("held_out", BooleanType()),
-            ("score", DoubleType()),
-            ("predicted", IntegerType()),
-        ),
+        F.col(text_col).alias("text"),
     )
+    return add_scores(rows, net, threshold).drop("text")
 
 
 def classify_quality(
@@ -286,6 +286,12 @@ def classify_quality(
     threshold: float = 0.3,
 ) -> DataFrame:
     """Train on the labels that are not held out, then score all of ``docs``."""
+    return score_documents(docs, fitted(docs, labels, per_class, max_text_bytes), threshold)
+
+
+def fitted(
+    docs: DataFrame, labels: DataFrame, per_class: int = 1000, max_text_bytes: int = 1 << 20
+) -> Network:
+    """A network trained on the sample of ``docs`` and their labels."""
     sample = labelled_sample(docs, labels, per_class, max_text_bytes)
-    net = train([text for text, _ in sample], [label for _, label in sample])
-    return score_documents(docs, net, threshold)
+    return train([text for text, _ in sample], [label for _, label in sample])

@@ -7,6 +7,9 @@ nothing before them. What is read twice is written once.
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
@@ -14,13 +17,27 @@ from pyspark.sql.types import DataType, StructField, StructType
 from orderlake.session import scratch_path
 
 
+def import_on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did.
+
+    They find it anyway where it is installed or the job was started in its folder.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    import_on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder, read back."""
     spark = df.sparkSession
+    import_on_workers(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
