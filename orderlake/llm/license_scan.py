@@ -127,8 +127,9 @@ def license_words() -> list[str]:
 def scan_words(text: Column) -> Column:
     """Words of a text with A-Z in lower case; none for null.
 
-    Lower-casing the whole text would also turn two other letters into ASCII ones (the
-    Kelvin sign, the capital dotted I); they are changed into other letters first.
+    Other letters are lower-cased too, which no phrase can tell, as all are of ASCII.
+    Two of them would become ASCII letters (the Kelvin sign, the capital dotted I); they
+    are changed into others first.
     """
     safe = F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u0138"))
     lowered = F.lower(F.replace(safe, F.lit("\u0130"), F.lit("\u0131")))
