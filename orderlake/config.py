@@ -23,13 +23,32 @@ class LakeConfig:
     #: Partitions of stateful streaming shuffles; frozen into the checkpoint on
     #: the first run, so size it for peak load. None uses the session's value.
     state_partitions: int | None = None
-    #: Files a silver micro-batch may write per event date. Without a bound every
-    #: state partition writes a file for every date it holds. Some 256 MB per file
-    #: is a good aim; raise it for a backfill that takes all files in one batch.
-    silver_files_per_date: int = 4
+    #: Files a silver micro-batch may write per event date; also the most tasks that
+    #: write it. None lets every state partition write the dates it holds, which uses
+    #: the whole cluster; compact old dates later. Set it where batches are small.
+    silver_files_per_date: int | None = None
+    #: Bounds of a Kafka micro-batch, and of its splits. Without the first, the first
+    #: batch is the whole topic.
+    max_offsets_per_trigger: int | None = 10_000_000
+    min_partitions: int | None = None
+    #: Where a batch build lies beside the streams, silver leaves out the events it has
+    #: written. Its dates before this one (ISO) are not looked at; None looks at all.
+    backfill_since: str | None = None
     #: How many published generations of the reporting tables stay readable.
     keep_generations: int = 3
 
+    # Batch writers and streams have folders of their own below each dataset: a
+    # stream's folder is read by the log of what the stream has committed, so rows
+    # that others put there would not be seen.
+
+    @staticmethod
+    def batch_part(dataset: str) -> str:
+        return f"{dataset}/batch"
+
+    @staticmethod
+    def stream_part(dataset: str) -> str:
+        return f"{dataset}/stream"
+
     @property
     def bronze(self) -> str:
         return f"{self.root}/bronze/order_events"
@@ -58,5 +77,9 @@ class LakeConfig:
     def event_store(self) -> str:
         return f"{self.root}/store/order_events"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/rejects/order_events"
+
     def checkpoint(self, query_name: str) -> str:
         return f"{self.root}/checkpoints/{query_name}"

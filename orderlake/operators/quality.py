@@ -138,7 +138,7 @@ def _window_order() -> dict[str, Column]:
 def metrics_constraints() -> dict[str, Column]:
     """Violation predicate of each row constraint of the metrics table."""
     counts = ["order_event_count", "created_order_count", "completed_order_count"]
-    required = ["window_start", "window_end", "currency", *counts, "revenue", "aggregated_at"]
+    required = ["window_start", "window_end", "currency", *counts, "revenue", "aggregated_at", "loaded_at"]
     return {
         **_filled(required),
         "currency length <= 3": F.length("currency") > 3,
@@ -149,7 +149,7 @@ def metrics_constraints() -> dict[str, Column]:
 
 def status_constraints() -> dict[str, Column]:
     """Violation predicate of each row constraint of the status table."""
-    required = [*STATUS_KEY, "window_end", "status_event_count", "aggregated_at"]
+    required = [*STATUS_KEY, "window_end", "status_event_count", "aggregated_at", "loaded_at"]
     return {
         **_filled(required),
         "currency length <= 3": F.length("currency") > 3,

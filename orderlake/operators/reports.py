@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlake.operators.quality import repeated_keys
+
 
 def latest_events(silver: DataFrame, n: int = 20) -> DataFrame:
     """The newest events by event time."""
@@ -96,12 +98,7 @@ def preview_quarantine(quarantine: DataFrame, n: int = 20) -> DataFrame:
 
 def duplicate_key_count(df: DataFrame, *keys: str) -> DataFrame:
     """How many key values occur more than once (one row)."""
-    return (
-        df.groupBy(*keys)
-        .count()
-        .filter(F.col("count") > 1)
-        .agg(F.count("*").alias("duplicate_count"))
-    )
+    return repeated_keys(df, [*keys]).agg(F.count("*").alias("duplicate_count"))
 
 
 def stored_count(store: DataFrame, event_id: str) -> DataFrame:

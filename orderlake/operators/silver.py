@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.functions.rules import all_rules_hold, with_validation
+from orderlake.functions.rules import all_rules_hold, failed_codes, is_valid
 from orderlake.operators.dedup import dedup_events
 from orderlake.schemas import QUARANTINE, SILVER
 
@@ -27,8 +27,8 @@ def to_silver(bronze: DataFrame, delay: str = "7 days") -> DataFrame:
 def to_quarantine(bronze: DataFrame) -> DataFrame:
     """Invalid rows with the raw text and every reason they failed for."""
     return (
-        with_validation(bronze)
-        .filter(~F.col("is_valid"))
+        bronze.filter(~is_valid())
+        .withColumns({"validation_errors": failed_codes(), "validated_at": F.current_timestamp()})
         .withColumn("quarantine_date", F.to_date("validated_at"))
         .select(QUARANTINE.fieldNames())
     )

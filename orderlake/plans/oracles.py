@@ -208,6 +208,12 @@ mart AS (
 
 _GOLD = f"{_EV}, {_metrics('ev')}, {_status('ev')}"
 _FULL_MART = f"{_GOLD}, {_mart()}"
+_ZEROS = ", ".join(f"0 AS {column}" for column in _PIVOT.values())
+#: An event as it was sent, with the defaults that do not depend on the clock.
+_SENT = (
+    "event_id, event_time, event_type, coalesce(event_version, 1) AS event_version, order_id, "
+    "customer_id, order_status, order_amount, upper(coalesce(currency, 'USD')) AS currency"
+)
 _FINAL = (
     "window_end <= (SELECT date_trunc('millisecond', max(event_time)) FROM {src}) - INTERVAL 1 DAY"
 )
@@ -350,6 +356,9 @@ def _constraints() -> str:
         row(s, "{status}", "window_end > window_start", "window_end <= window_start"),
         row(s, "{status}", "status_event_count >= 0", "status_event_count < 0"),
         key(s, "window_start,currency,order_status", _STATUS_DUPES),
+        row(m, "{metrics}", "loaded_at not null", "'{v}' = 'faulty' AND currency = 'EUR'"),
+        row("order_events", "ev", "raw_event not null", "'{v}' = 'faulty' AND order_status = 'paid'"),
+        key("order_events", "event_id", "SELECT 1 FROM ev WHERE '{v}' = 'faulty' AND order_status = 'pending'"),
     ]
     union = " UNION ALL ".join(rows)
     return _variants(f"SELECT *, '{{v}}' AS variant FROM ({union}) c WHERE failing_rows > 0")
@@ -427,9 +436,19 @@ ORACLES: dict[str, str] = {
     "event_store_stream": f"""WITH {_STRICT}, stored AS (
         SELECT * FROM strict WHERE codes = ''
         QUALIFY event_id IS NULL OR row_number() OVER (PARTITION BY event_id ORDER BY kafka_offset) = 1)
-      SELECT event_id, event_type, coalesce(event_version, 1) AS event_version, order_id,
-        customer_id, order_status, order_amount, upper(coalesce(currency, 'USD')) AS currency
-      FROM stored""",
+      SELECT {_SENT} FROM stored""",
+    "event_store_mixed_writers": f"""WITH {_STRICT}, stored AS (
+        SELECT * FROM strict WHERE codes = ''
+        QUALIFY event_id IS NULL OR row_number() OVER (PARTITION BY event_id ORDER BY kafka_offset) = 1)
+      SELECT {_SENT}, true AS counts_add_up, CAST(0 AS BIGINT) AS inserted_again FROM stored""",
+    "event_store_outcome": f"""WITH {_STRICT}, stored AS (
+        SELECT * FROM strict WHERE codes = ''
+        QUALIFY event_id IS NULL OR row_number() OVER (PARTITION BY event_id ORDER BY kafka_offset) = 1)
+      SELECT code AS outcome, CAST(count(*) AS BIGINT) AS messages
+      FROM (SELECT unnest(string_split(codes, ',')) AS code FROM strict WHERE codes <> '') c GROUP BY 1
+      UNION ALL SELECT 'stored', CAST(count(*) AS BIGINT) FROM stored""",
+    "stored_count": f"""WITH {_EV} SELECT CAST(count(*) AS BIGINT) AS stored_count FROM ev
+      WHERE event_id = '00000000-0000-4000-8000-000000000100'""",
     "poison_tolerance": f"""WITH {_STRICT}, stored AS (
         SELECT *, coalesce(event_id, CAST(kafka_partition AS VARCHAR) || '/' || CAST(kafka_offset AS VARCHAR)) AS ident
         FROM strict WHERE codes = '' AND kafka_offset % 40 <> 21)
@@ -443,6 +462,12 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'reporting_order_status_hourly', CAST(count(*) AS BIGINT) FROM status
       UNION ALL SELECT 'reporting_stg_order_status_hourly', CAST(count(*) AS BIGINT) FROM status
       UNION ALL SELECT 'reporting_fct_hourly_commerce_metrics', CAST(count(*) AS BIGINT) FROM mart""",
+    "table_row_counts_of_database": f"""WITH {_FULL_MART}
+      SELECT 'order_metrics_hourly' AS dataset, CAST(count(*) AS BIGINT) AS row_count FROM metrics
+      UNION ALL SELECT 'stg_order_metrics_hourly', CAST(count(*) AS BIGINT) FROM metrics
+      UNION ALL SELECT 'order_status_hourly', CAST(count(*) AS BIGINT) FROM status
+      UNION ALL SELECT 'stg_order_status_hourly', CAST(count(*) AS BIGINT) FROM status
+      UNION ALL SELECT 'fct_hourly_commerce_metrics', CAST(count(*) AS BIGINT) FROM mart""",
     # projections and parsing
     "bronze_envelope": f"WITH {_MSG} SELECT message_key, raw_event, {_POSITION} FROM bronze",
     "json_validity": f"WITH {_MSG} SELECT kafka_partition, kafka_offset, is_valid_json FROM bronze",
@@ -476,16 +501,17 @@ ORACLES: dict[str, str] = {
       FROM (SELECT unnest(string_split(codes, ',')) AS code FROM checked WHERE codes <> '') c
       GROUP BY 1""",
     "strict_contract": f"""WITH {_STRICT} SELECT kafka_partition, kafka_offset,
-        codes AS contract_errors FROM strict""",
+        CASE fault WHEN 22 THEN 'order_amount_too_many_digits' WHEN 23 THEN 'invalid_currency'
+          WHEN 24 THEN 'event_time_without_zone' ELSE codes END AS contract_errors FROM strict""",
     # aggregates and joins
     "gold_order_metrics": f"""WITH {_GOLD} SELECT {_METRIC_COLUMNS},
         CAST(window_start AS DATE) AS window_date FROM metrics""",
     "gold_status_distribution": f"""WITH {_GOLD} SELECT {_STATUS_COLUMNS},
         CAST(window_start AS DATE) AS window_date FROM status""",
     "status_pivot": f"WITH {_GOLD}, {_pivot('status')} SELECT * FROM pivoted",
-    "mart_hourly": f"""WITH {_GOLD}, some_status AS (
-        SELECT * FROM status WHERE order_status <> 'paid' AND currency <> 'TWD'),
-      {_mart('some_status')} SELECT * FROM mart""",
+    "mart_hourly": f"""WITH {_FULL_MART} SELECT * FROM mart
+      UNION ALL SELECT * REPLACE (window_start + INTERVAL 1000 DAY AS window_start,
+        window_end + INTERVAL 1000 DAY AS window_end, {_ZEROS}) FROM mart""",
     "duplicate_event_ids": f"""WITH {_CHECKED} SELECT CAST(count(*) AS BIGINT) AS duplicate_count
       FROM (SELECT event_id FROM checked WHERE codes = '' GROUP BY 1 HAVING count(*) > 1) d""",
     "row_counts": f"""WITH {_CHECKED}, {_metrics('ev')}, {_status('ev')}
@@ -519,6 +545,8 @@ ORACLES: dict[str, str] = {
     "dedup_batch": f"WITH {_EV} SELECT event_id, event_time, {_POSITION} FROM ev",
     "dedup_within_watermark": f"""WITH {_EV} SELECT event_id, order_id, event_time,
         CAST(event_time AS DATE) AS event_date FROM ev""",
+    "stream_several_files": f"""WITH {_EV} SELECT event_id, event_time,
+        CAST(3 AS INTEGER) AS micro_batches FROM ev""",
     "stream_gold_order_metrics": f"""WITH {_GOLD} SELECT {_METRIC_COLUMNS} FROM metrics
       WHERE {_FINAL.format(src='ev')}""",
     "stream_gold_status": f"""WITH {_GOLD} SELECT {_STATUS_COLUMNS} FROM status
@@ -565,4 +593,13 @@ ORACLES: dict[str, str] = {
       {_mart()} SELECT * FROM mart""",
     "lake_batch": f"""WITH {_CHECKED}, {_metrics('silver')} SELECT {_METRIC_COLUMNS},
         CAST(window_start AS DATE) AS window_date FROM metrics""",
+    "lake_backfill_then_stream": f"""WITH {_CHECKED},
+      {_metrics('silver', 'whole')},
+      built AS (SELECT * FROM silver WHERE kafka_partition IN (0, 1)), {_metrics('built', 'early')},
+      final AS (SELECT * FROM whole WHERE {_FINAL.format(src='silver')}),
+      gold AS (SELECT * FROM final UNION ALL SELECT * FROM early
+        WHERE (window_start, currency) NOT IN (SELECT (window_start, currency) FROM final))
+      SELECT 'silver' AS dataset, event_id, event_time, currency, order_amount FROM silver
+      UNION ALL SELECT 'gold', NULL, window_start, currency,
+        CAST(order_event_count AS DECIMAL(12,2)) FROM gold""",
 }

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import StructType, TimestampType
 
 from orderlake.config import LakeConfig
 from orderlake.functions.rules import with_validation
@@ -48,14 +49,22 @@ from orderlake.schemas import (
     STATUS_TABLE,
     conform,
 )
-from orderlake.session import is_local, scratch_path
+from orderlake.session import scratch_path
 from orderlake.sources.catalog import register_views, table_row_counts
-from orderlake.sources.event_store import insert_if_absent, read_store
-from orderlake.sources.readers import scan, scan_pruned, stream_parquet
+from orderlake.sources.event_store import insert_if_absent, read_store, store_rows
+from orderlake.sources.readers import (
+    scan,
+    scan_final,
+    scan_if_available,
+    scan_parts,
+    scan_pruned,
+    stream_parquet,
+)
 from orderlake.sources.sinks import write_partitioned
 from orderlake.streaming.lake import (
     start_bronze,
     start_event_store,
+    start_rejects,
     start_silver,
 )
 from orderlake.streaming.runner import finish, start_files
@@ -74,6 +83,7 @@ METRIC_COLUMNS = [
     "average_order_value",
 ]
 STATUS_COLUMNS = ["window_start", "window_end", "currency", "order_status", "status_event_count"]
+STORE = "order_events"
 CLOCK_COLUMNS = ["ingested_at", "validated_at", "aggregated_at", "loaded_at"]
 
 
@@ -106,24 +116,12 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testbed.order_events(_raw(spark, sf_dir))
 
 
-def _topic(raw: DataFrame) -> DataFrame:
-    """Messages of the events, spread like a topic over several partitions.
-
-    Only a local table needs it: one file of one row group is one task, and would
-    be parsed on one core. On a cluster the scan has its own splits.
-    """
-    spark = raw.sparkSession
-    if is_local(spark):
-        raw = raw.repartition(spark.sparkContext.defaultParallelism)
-    return testbed.messages(raw)
-
-
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _topic(_raw(spark, sf_dir))
+    return testbed.messages(_raw(spark, sf_dir))
 
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _topic(testbed.stream_events(spark, sf_dir))
+    return testbed.messages(testbed.stream_events(spark, sf_dir))
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,10 +138,7 @@ def _config(spark: SparkSession, name: str) -> LakeConfig:
 
     No rate limit, so a hop is one batch whatever the number of files.
     """
-    cores = spark.sparkContext.defaultParallelism if is_local(spark) else None
-    return LakeConfig(
-        root=scratch_path(spark, name), max_files_per_trigger=None, state_partitions=cores
-    )
+    return LakeConfig(root=scratch_path(spark, name), max_files_per_trigger=None)
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,7 +225,7 @@ def scan_pruned_gold(spark, sf_dir):
     build_gold(spark, config, _events(spark, sf_dir))
     return scan_pruned(
         spark,
-        config.gold_metrics,
+        config.batch_part(config.gold_metrics),
         ["window_start", "currency", "revenue"],
         partition_column="window_date",
         since="2024-01-10",
@@ -294,6 +289,13 @@ def recent_store_events(spark, sf_dir):
     return reports.recent_store_events(read_store(spark, config.event_store))
 
 
+@query("stored_count")
+def stored_count(spark, sf_dir):
+    """Of an event that arrives twice in each of two inserts."""
+    stored = _filled_store(spark, sf_dir)
+    return reports.stored_count(stored, "00000000-0000-4000-8000-000000000100")
+
+
 @query("publish_envelope")
 def publish_envelope(spark, sf_dir):
     return to_messages(_events(spark, sf_dir))
@@ -301,14 +303,20 @@ def publish_envelope(spark, sf_dir):
 
 @query("event_store_stream")
 def event_store_stream(spark, sf_dir):
-    """Accepted events; ids and times that were made up are left out."""
     config = _config(spark, "event_store")
     finish(start_event_store(_message_stream(spark, sf_dir), config, bounded=True))
-    stored = read_store(spark, config.event_store)
+    return _as_sent(read_store(spark, config.event_store))
+
+
+def _as_sent(stored: DataFrame) -> DataFrame:
+    """Stored events; ids and times that were made up are left out."""
     given = F.col("event_id").startswith("00000000-0000-4000-8000-")
+    number = F.substring("event_id", 25, 12).try_cast("bigint")
+    timeless = given & (number % testbed.FAULT_CYCLE == testbed.TIMELESS_FAULT)
     currency = F.get_json_object("raw_event", "$.currency")
     return stored.select(
         F.when(given, F.col("event_id")).alias("event_id"),
+        F.when(~timeless, F.col("event_time")).alias("event_time"),
         "event_type",
         "event_version",
         "order_id",
@@ -319,6 +327,55 @@ def event_store_stream(spark, sf_dir):
     )
 
 
+def _of_partitions(messages: DataFrame, *partitions: int) -> DataFrame:
+    return messages.filter(F.col("partition").isin(*partitions))
+
+
+@query("event_store_mixed_writers")
+def event_store_mixed_writers(spark, sf_dir):
+    """A batch, a stream with its ids in state, and all of it as a batch again.
+
+    Each takes up some of what the one before has stored; the last adds nothing.
+    """
+    config = _config(spark, "mixed_store")
+    staging = f"{config.root}/staging/batch"
+    batch, stream = _messages(spark, sf_dir), _message_stream(spark, sf_dir)
+
+    def insert(messages: DataFrame) -> int:
+        events = accepted(apply_contract(envelope(messages)))
+        return insert_if_absent(spark, events, config.event_store, staging)
+
+    first = insert(_of_partitions(batch, 0))
+    second = _of_partitions(stream, 0, 1)
+    finish(start_event_store(second, config, bounded=True, ids_in_state=True))
+    streamed = read_store(spark, config.event_store).count() - first
+    third = insert(batch)
+    repeated = insert(batch)
+    stored = read_store(spark, config.event_store)
+    return _as_sent(stored).select(
+        "*",
+        (F.lit(first + streamed + third) == stored.count()).alias("counts_add_up"),
+        F.lit(repeated).cast("bigint").alias("inserted_again"),
+    )
+
+
+@query("event_store_outcome")
+def event_store_outcome(spark, sf_dir):
+    """What became of the messages: rejects of each code, and events stored."""
+    config = _config(spark, "outcome")
+    stream = _message_stream(spark, sf_dir)
+    finish(
+        start_event_store(stream, config, bounded=True),
+        start_rejects(stream, config, bounded=True),
+    )
+    rejects = scan_if_available(
+        spark, config.rejects, StructType.fromDDL("contract_errors array<string>")
+    )
+    codes = rejects.select(F.explode("contract_errors").alias("outcome"))
+    stored = read_store(spark, config.event_store).select(F.lit("stored").alias("outcome"))
+    return codes.union(stored).groupBy("outcome").agg(F.count("*").alias("messages"))
+
+
 @query("poison_tolerance")
 def poison_tolerance(spark, sf_dir):
     """Null and unreadable payloads between good ones; ids kept in state."""
@@ -339,6 +396,17 @@ def materialize_mart(spark, sf_dir):
     return _written(spark, _reporting(spark, sf_dir)[MART], "mart")
 
 
+@query("table_row_counts_of_database")
+def table_row_counts_of_database(spark, sf_dir):
+    """Tables of a named database, while a view of the session goes by another name."""
+    database = f"reporting_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    for name, df in _reporting(spark, sf_dir).items():
+        df.write.saveAsTable(f"{database}.{name}")
+    register_views({"not_of_that_database": spark.range(1)})
+    return table_row_counts(spark, database)
+
+
 @query("table_row_counts")
 def table_row_counts_of_views(spark, sf_dir):
     frames = _reporting(spark, sf_dir)
@@ -466,7 +534,8 @@ def validation_error_counts(spark, sf_dir):
 
 @query("strict_contract")
 def strict_contract(spark, sf_dir):
-    return apply_contract(envelope(_messages(spark, sf_dir))).select(
+    messages = testbed.spoil_text(_messages(spark, sf_dir))
+    return apply_contract(envelope(messages)).select(
         "kafka_partition",
         "kafka_offset",
         F.array_join("contract_errors", ",").alias("contract_errors"),
@@ -493,10 +562,12 @@ def status_pivot(spark, sf_dir):
 
 @query("mart_hourly")
 def mart_hourly(spark, sf_dir):
-    """Some windows have no status row at all, so their counts must become 0."""
+    """All metrics, and once more at a time without any status, where counts are 0."""
     facts = _facts(spark, sf_dir)
-    status = _status_table(facts).filter("order_status <> 'paid' AND currency <> 'TWD'")
-    return hourly_mart(stage_metrics(_metrics_table(facts)), stage_status(status))
+    metrics, later = _metrics_table(facts), F.expr("INTERVAL 1000 DAYS")
+    moved = {c: F.col(c) + later for c in ("window_start", "window_end")}
+    both = metrics.unionByName(metrics.withColumns(moved))
+    return hourly_mart(stage_metrics(both), stage_status(_status_table(facts)))
 
 
 @query("duplicate_event_ids")
@@ -588,6 +659,28 @@ def dedup_within_watermark(spark, sf_dir):
     return scan(spark, config.silver, single.schema)
 
 
+@query("stream_several_files")
+def stream_several_files(spark, sf_dir):
+    """Thirty files, ten to a micro-batch; the copies of events come in later ones."""
+    config = LakeConfig(root=scratch_path(spark, "several_files"))
+    events = testbed.redeliver(_events(spark, sf_dir))
+    first = F.col("kafka_offset") < testbed.REDELIVERY_SHIFT
+    for sent, number in ((first, F.col("n")), (~first, F.col("n") / testbed.REDELIVERY_CYCLE)):
+        dealt = events.filter(sent).withColumn("file", (number % 15).cast("int"))
+        dealt.repartition("file").write.mode("append").partitionBy("file").parquet(config.bronze)
+    schema = events.withColumn("file", F.lit(0)).schema
+    stream = stream_parquet(spark, config.bronze, schema, config.max_files_per_trigger)
+    single = dedup_events(stream, "60 days").withColumn("event_date", F.to_date("event_time"))
+    query = start_files(
+        single, config, name="several", path=config.silver, partition_column="event_date", bounded=True
+    )
+    finish(query)
+    batches = sum(p.numInputRows > 0 for p in query.recentProgress)
+    return scan(spark, config.silver, single.schema).select(
+        "event_id", "event_time", F.lit(batches).alias("micro_batches")
+    )
+
+
 def _stream_gold(spark, sf_dir, name, build, columns):
     config = _config(spark, name)
     events = testbed.order_events(testbed.stream_events(spark, sf_dir))
@@ -667,12 +760,12 @@ def stream_silver_split(spark, sf_dir):
     config = _config(spark, "silver_split")
     finish(start_bronze(_message_stream(spark, sf_dir), config, bounded=True))
     finish(*start_silver(spark, config, bounded=True))
-    silver = scan(spark, config.silver, SILVER).select(
+    silver = scan_parts(spark, config.silver, SILVER).select(
         F.lit("silver").alias("branch"),
         F.col("event_id").alias("ident"),
         F.lit("").alias("validation_errors"),
     )
-    quarantine = scan(spark, config.quarantine, QUARANTINE).select(
+    quarantine = scan_parts(spark, config.quarantine, QUARANTINE).select(
         F.lit("quarantine").alias("branch"),
         F.concat_ws(":", "kafka_partition", "kafka_offset").alias("ident"),
         F.array_join("validation_errors", ",").alias("validation_errors"),
@@ -709,6 +802,7 @@ def _faulty(spark: SparkSession, clean: dict[str, DataFrame]) -> dict[str, DataF
     metrics, status, mart = clean[METRICS], clean[STATUS], clean[MART]
     metrics = _broken(metrics, "currency = 'EUR'", "revenue", "NULL")
     metrics = _broken(metrics, "currency = 'USD'", "window_end", "window_start")
+    metrics = _broken(metrics, "currency = 'EUR'", "loaded_at", "NULL")
     metrics = metrics.unionByName(metrics.filter("currency = 'TWD'"))
     status = _broken(status, "order_status = 'paid' AND currency = 'EUR'", "order_status", "'shipped'")
     status = status.unionByName(status.filter("order_status = 'cancelled'"))
@@ -769,6 +863,7 @@ def dq_constraints(spark, sf_dir):
         parts = (
             (METRICS, quality.metrics_constraints(), METRICS_KEY),
             (STATUS, quality.status_constraints(), STATUS_KEY),
+            (STORE, quality.store_constraints(), ["event_id"]),
         )
         return reduce(
             DataFrame.unionByName,
@@ -780,7 +875,12 @@ def dq_constraints(spark, sf_dir):
             ],
         )
 
-    return _checked(spark, sf_dir, violations).filter("failing_rows > 0")
+    clean = _reporting(spark, sf_dir)
+    store = store_rows(_events(spark, sf_dir))
+    faulty = _faulty(spark, clean)
+    unpaid = _broken(store, "order_status = 'paid'", "raw_event", "NULL")
+    faulty[STORE] = unpaid.unionByName(store.filter("order_status = 'pending'"))
+    return _both(violations, {**clean, STORE: store}, faulty).filter("failing_rows > 0")
 
 
 @query("dq_suite")
@@ -813,4 +913,28 @@ def lake_batch(spark, sf_dir):
     """The flagship: messages to bronze, silver, quarantine and gold in batch."""
     config = _config(spark, "lake_batch")
     build_lake(spark, config, _messages(spark, sf_dir))
-    return scan(spark, config.gold_metrics, GOLD_METRICS)
+    return scan(spark, config.batch_part(config.gold_metrics), GOLD_METRICS)
+
+
+@query("lake_backfill_then_stream")
+def lake_backfill_then_stream(spark, sf_dir):
+    """Two transport partitions in batch, then two as streams, one of them again.
+
+    Silver holds each event once, and the hourly counts are those of all of them.
+    """
+    config = _config(spark, "backfill")
+    build_lake(spark, config, _of_partitions(_messages(spark, sf_dir), 0, 1))
+    run_lake(spark, config, _of_partitions(_message_stream(spark, sf_dir), 1, 2), bounded=True)
+    silver = scan_parts(spark, config.silver, SILVER)
+    gold = scan_final(spark, config.gold_metrics, GOLD_METRICS, METRICS_KEY)
+    events = silver.select(
+        F.lit("silver").alias("dataset"), "event_id", "event_time", "currency", "order_amount"
+    )
+    counts = gold.select(
+        F.lit("gold").alias("dataset"),
+        F.lit(None).cast("string").alias("event_id"),
+        F.col("window_start").alias("event_time"),
+        "currency",
+        F.col("order_event_count").cast("decimal(12,2)").alias("order_amount"),
+    )
+    return events.unionByName(counts)

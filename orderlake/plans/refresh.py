@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderlake.config import LakeConfig
 from orderlake.operators.mart import hourly_mart, stage_metrics, stage_status
@@ -28,7 +30,7 @@ from orderlake.sources.published import (
     read_published,
     stage_tables,
 )
-from orderlake.sources.readers import scan_pruned
+from orderlake.sources.readers import scan_final
 
 METRICS = "order_metrics_hourly"
 STATUS = "order_status_hourly"
@@ -43,9 +45,15 @@ def _marts(config: LakeConfig) -> str:
     return f"{config.reporting}/marts"
 
 
-def _gold(spark: SparkSession, path: str, schema, since: str | None) -> DataFrame:
-    columns = [name for name in schema.fieldNames() if name != "window_date"]
-    return scan_pruned(spark, path, columns, partition_column="window_date", since=since)
+def _gold(
+    spark: SparkSession, path: str, schema: StructType, keys: list[str], since: str | None
+) -> DataFrame:
+    gold = scan_final(spark, path, schema, keys)
+    if gold.isEmpty():
+        raise FileNotFoundError(f"no gold rows in {path}")
+    if since is not None:
+        gold = gold.filter(F.col("window_date") >= F.lit(since).cast("date"))
+    return gold.drop("window_date")
 
 
 def load_reporting_tables(
@@ -60,8 +68,12 @@ def load_reporting_tables(
     metrics = read_published(spark, root, METRICS, METRICS_TABLE, keep, last)
     status = read_published(spark, root, STATUS, STATUS_TABLE, keep, last)
     merged = {
-        METRICS: upsert_metrics(metrics, _gold(spark, config.gold_metrics, GOLD_METRICS, since)),
-        STATUS: upsert_status(status, _gold(spark, config.gold_status, GOLD_STATUS, since)),
+        METRICS: upsert_metrics(
+            metrics, _gold(spark, config.gold_metrics, GOLD_METRICS, METRICS_KEY, since)
+        ),
+        STATUS: upsert_status(
+            status, _gold(spark, config.gold_status, GOLD_STATUS, STATUS_KEY, since)
+        ),
     }
     staged = stage_tables(spark, root, last + 1, merged, keep)
     enforce(

@@ -17,6 +17,8 @@ from orderlake.schemas import AMOUNT
 TOPIC = "commerce.orders.v1"
 #: One of every forty events per fault; fault n breaks lake rule n.
 FAULT_CYCLE = 40
+#: The fault that takes an event's time away.
+TIMELESS_FAULT = 8
 #: Every fiftieth event is delivered twice, the copy at a far higher offset.
 REDELIVERY_CYCLE = 50
 REDELIVERY_SHIFT = 1_000_000
@@ -98,7 +100,7 @@ def spoil(events: DataFrame) -> DataFrame:
             "event_id": when_fault("event_id", (2, None), (3, "not-a-uuid")),
             "order_id": when_fault("order_id", (4, None), (5, "not-a-uuid")),
             "customer_id": when_fault("customer_id", (6, None), (7, "not-a-uuid")),
-            "event_time": when_fault("event_time", (8, None)),
+            "event_time": when_fault("event_time", (TIMELESS_FAULT, None)),
             "event_version": when_fault("event_version", (9, None), (10, 0)),
             "event_type": when_fault("event_type", (11, None), (12, "order_teleported")),
             "order_status": when_fault("order_status", (13, None), (14, "shipped")),
@@ -111,6 +113,17 @@ def spoil(events: DataFrame) -> DataFrame:
     )
 
 
+def spoil_text(messages: DataFrame) -> DataFrame:
+    """Break three terms that only the text of a message can break, each in one of
+    forty: a third decimal, a currency of four letters, a time without a zone."""
+    fault, text = F.col("offset") % FAULT_CYCLE, F.col("value").cast("string")
+    decimal = F.regexp_replace(text, r'("order_amount":"\d+\.\d\d)"', '$11"')
+    letters = F.regexp_replace(text, r'("currency":"[A-Z]{3})"', '$1X"')
+    zoneless = F.regexp_replace(text, r'("event_time":"[^"]+)Z"', '$1"')
+    spoiled = F.when(fault == 22, decimal).when(fault == 23, letters).when(fault == 24, zoneless)
+    return messages.withColumn("value", F.coalesce(spoiled, text).cast("binary"))
+
+
 def redeliver(events: DataFrame) -> DataFrame:
     """Deliver some events a second time, as copies at another offset."""
     twice = F.array(F.lit(0), F.lit(REDELIVERY_SHIFT))

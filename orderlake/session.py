@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -47,21 +46,12 @@ def build_session(
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
+    """A fresh path below the folder that driver and executors share.
 
-    A local session without that setting gets a temporary folder. A cluster
-    session without it is refused: executors cannot share a local folder.
+    That is ``spark.checkpoint.dir``; where it is unset, the warehouse folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/orderlake/{name}-{uuid.uuid4().hex}"
-    if not is_local(spark):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix=f"orderlake-{name}-") + "/data"
-
-
-def is_local(spark: SparkSession) -> bool:
-    return spark.conf.get("spark.master", "").startswith("local")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/orderlake/{name}-{uuid.uuid4().hex}"
 
 
 @contextmanager

@@ -7,24 +7,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from orderlake.config import LakeConfig
+
 #: Error conditions of a Parquet read that mean "nothing was written yet".
 _NO_PATH = "PATH_NOT_FOUND"
 _NO_FILES = ("UNABLE_TO_INFER_SCHEMA", "_LEGACY_ERROR_TEMP_1134")
 
 
-def kafka_source_options(bootstrap_servers: str, topic: str) -> dict[str, str]:
-    """Read the topic from its start and fail rather than skip lost messages."""
-    return {
+def kafka_source_options(
+    bootstrap_servers: str,
+    topic: str,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
+) -> dict[str, str]:
+    """Read the topic from its start and fail rather than skip lost messages.
+
+    The bounds limit what one micro-batch takes and into how many tasks it is split.
+    """
+    options = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
         "failOnDataLoss": "true",
     }
+    if max_offsets_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
+    return options
 
 
-def stream_kafka(spark: SparkSession, bootstrap_servers: str, topic: str) -> DataFrame:
+def stream_kafka(
+    spark: SparkSession,
+    bootstrap_servers: str,
+    topic: str,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
+) -> DataFrame:
     """Transport messages of a topic; needs the Spark Kafka connector."""
-    options = kafka_source_options(bootstrap_servers, topic)
+    options = kafka_source_options(
+        bootstrap_servers, topic, max_offsets_per_trigger, min_partitions
+    )
     return spark.readStream.format("kafka").options(**options).load()
 
 
@@ -60,6 +83,38 @@ def scan_if_available(spark: SparkSession, path: str, schema: StructType) -> Dat
         return spark.createDataFrame([], schema)
 
 
+def is_written(spark: SparkSession, path: str, schema: StructType) -> bool:
+    """Whether there is a dataset with rows at the path."""
+    return not scan_if_available(spark, path, schema).isEmpty()
+
+
+def scan_parts(spark: SparkSession, dataset: str, schema: StructType) -> DataFrame:
+    """A dataset as a whole: what batches and what streams have written.
+
+    The parts are read one by one, as a stream's part goes by its commit log.
+    """
+    parts = [
+        scan_if_available(spark, part(dataset), schema)
+        for part in (LakeConfig.batch_part, LakeConfig.stream_part)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def scan_final(
+    spark: SparkSession, dataset: str, schema: StructType, keys: list[str]
+) -> DataFrame:
+    """A dataset of aggregates: a stream's row stands for the batch's of the same key.
+
+    A stream that runs beside a batch build counts the batch's events too, so its
+    final windows are whole; until then the batch's row is what there is.
+    """
+    streamed = scan_if_available(spark, LakeConfig.stream_part(dataset), schema)
+    built = scan_if_available(spark, LakeConfig.batch_part(dataset), schema)
+    return built.join(streamed.select(keys), keys, "left_anti").select(
+        built.columns
+    ).unionByName(streamed)
+
+
 def ensure_dataset(
     spark: SparkSession, path: str, schema: StructType, partition_column: str
 ) -> None:

@@ -9,15 +9,15 @@ from orderlake.functions.wire import to_messages
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition_column: str, mode: str = "overwrite"
+    df: DataFrame, path: str, *partition_columns: str, mode: str = "overwrite"
 ) -> None:
-    """Batch write of a dated dataset.
+    """Batch write of a dataset in folders, by date above all.
 
     The rebalance makes few large files per date; a date that holds much of the
     data is split over several tasks, small ones are merged.
     """
-    df.hint("rebalance", partition_column).write.mode(mode).partitionBy(
-        partition_column
+    df.hint("rebalance", *partition_columns).write.mode(mode).partitionBy(
+        *partition_columns
     ).parquet(path)
 
 

@@ -11,9 +11,9 @@ from orderlake.functions.strict import accepted, apply_contract
 from orderlake.operators.bronze import envelope, to_bronze
 from orderlake.operators.gold import order_metrics, status_distribution
 from orderlake.operators.silver import to_quarantine, to_silver
-from orderlake.schemas import BRONZE, SILVER
-from orderlake.sources.event_store import insert_if_absent, store_rows
-from orderlake.sources.readers import stream_parquet
+from orderlake.schemas import BRONZE, POSITION_COLUMNS, SILVER
+from orderlake.sources.event_store import append_batch, insert_if_absent, require_checkpoint
+from orderlake.sources.readers import is_written, scan, stream_parquet
 from orderlake.streaming.runner import gather, start_batches, start_files
 
 
@@ -25,7 +25,7 @@ def start_bronze(
         to_bronze(messages),
         config,
         name="bronze_orders",
-        path=config.bronze,
+        path=config.stream_part(config.bronze),
         partition_column="ingestion_date",
         bounded=bounded,
     )
@@ -37,15 +37,28 @@ def start_silver(
     """Bronze to silver and quarantine: two queries over one source.
 
     They are separate because only silver carries state. Each reads just its own
-    columns; silver never touches the raw text.
+    columns; silver never touches the raw text. Events that a batch build has written
+    are left out.
     """
-    bronze = stream_parquet(spark, config.bronze, BRONZE, config.max_files_per_trigger)
+    bronze = stream_parquet(
+        spark, config.stream_part(config.bronze), BRONZE, config.max_files_per_trigger
+    )
     valid = to_silver(bronze, config.silver_delay)
+    built = config.batch_part(config.silver)
+    if is_written(spark, built, SILVER):
+        known = scan(spark, built, SILVER)
+        if config.backfill_since is not None:
+            known = known.filter(F.col("event_date") >= F.lit(config.backfill_since).cast("date"))
+        valid = valid.join(known.select("event_id"), "event_id", "left_anti").select(
+            SILVER.fieldNames()
+        )
+    if config.silver_files_per_date is not None:
+        valid = gather(valid, "event_date", config.silver_files_per_date, split_by="event_id")
     silver = start_files(
-        gather(valid, "event_date", config.silver_files_per_date, split_by="event_id"),
+        valid,
         config,
         name="silver_orders",
-        path=config.silver,
+        path=config.stream_part(config.silver),
         partition_column="event_date",
         bounded=bounded,
     )
@@ -53,7 +66,7 @@ def start_silver(
         to_quarantine(bronze),
         config,
         name="quarantine_orders",
-        path=config.quarantine,
+        path=config.stream_part(config.quarantine),
         partition_column="quarantine_date",
         bounded=bounded,
     )
@@ -63,8 +76,17 @@ def start_silver(
 def start_gold(
     spark: SparkSession, config: LakeConfig, bounded: bool = False
 ) -> list[StreamingQuery]:
-    """Silver to both gold aggregates; a window is written once it is final."""
-    silver = stream_parquet(spark, config.silver, SILVER, config.max_files_per_trigger)
+    """Silver to both gold aggregates; a window is written once it is final.
+
+    Events of a batch build are counted too, so that a window that both have events of
+    is whole. They all belong to the first micro-batch, when nothing is late yet.
+    """
+    silver = stream_parquet(
+        spark, config.stream_part(config.silver), SILVER, config.max_files_per_trigger
+    )
+    built = config.batch_part(config.silver)
+    if is_written(spark, built, SILVER):
+        silver = silver.unionByName(stream_parquet(spark, built, SILVER, None))
     parts = {
         "gold_order_metrics": (order_metrics, config.gold_metrics),
         "gold_order_status": (status_distribution, config.gold_status),
@@ -80,7 +102,7 @@ def start_gold(
             ),
             config,
             name=name,
-            path=path,
+            path=config.stream_part(path),
             partition_column="window_date",
             bounded=bounded,
         )
@@ -93,33 +115,53 @@ def start_event_store(
     config: LakeConfig,
     bounded: bool = False,
     *,
-    ids_in_state: bool = False,
+    ids_in_state: bool | None = None,
 ) -> StreamingQuery:
     """Messages that meet the strict contract to the event store.
 
-    Anything else is left out and does not stop the stream. By default each
-    micro-batch looks up its ids in the store, which reads the id column of the
-    whole store every time: right for few, large batches. With ``ids_in_state``
-    the ids stay in the state store instead and the store is never read: right
-    for a continuous stream that is the store's only writer.
+    Anything else is left out and does not stop the stream; :func:`start_rejects` keeps
+    it. With ``ids_in_state``, the default of continuous runs, the ids of the stream are
+    in its state, and a micro-batch looks up only what others have inserted, in the
+    buckets of its ids; it is one folder of the store, which a replay overwrites.
+    Otherwise, the default of bounded runs, a micro-batch is inserted like any batch.
     """
-    events = accepted(apply_contract(envelope(messages)))
-    if ids_in_state:
-        rows = store_rows(events.dropDuplicates(["event_id"])).withColumn(
-            "event_date", F.to_date("event_time")
-        )
-        return start_files(
-            gather(rows, "event_date", config.silver_files_per_date, split_by="event_id"),
-            config,
-            name="event_store",
-            path=config.event_store,
-            partition_column="event_date",
-            bounded=bounded,
-        )
     spark = messages.sparkSession
     staging = f"{config.root}/staging/event_store"
+    events = accepted(apply_contract(envelope(messages)))
+    if ids_in_state is None:
+        ids_in_state = not bounded
+    if not ids_in_state:
+
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            insert_if_absent(spark, batch, config.event_store, staging)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        insert_if_absent(spark, batch, config.event_store, staging)
+        return start_batches(events, config, name="event_store", handle=handle, bounded=bounded)
 
-    return start_batches(events, config, name="event_store", handle=handle, bounded=bounded)
+    name = "event_store_state"
+    require_checkpoint(spark, config.checkpoint(name), config.event_store)
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        append_batch(spark, batch, config.event_store, f"{staging}_state", batch_id)
+
+    single = events.dropDuplicates(["event_id"])
+    return start_batches(single, config, name=name, handle=append, bounded=bounded)
+
+
+def start_rejects(
+    messages: DataFrame, config: LakeConfig, bounded: bool = False
+) -> StreamingQuery:
+    """Messages that the strict contract refuses: their position and every code."""
+    checked = apply_contract(envelope(messages))
+    refused = checked.filter(F.size("contract_errors") > 0).select(
+        *POSITION_COLUMNS,
+        "contract_errors",
+        F.to_date("kafka_timestamp").alias("rejected_date"),
+    )
+    return start_files(
+        refused,
+        config,
+        name="event_store_rejects",
+        path=config.rejects,
+        partition_column="rejected_date",
+        bounded=bounded,
+    )

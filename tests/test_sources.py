@@ -8,10 +8,10 @@ from orderlake.functions.strict import accepted, apply_contract
 from orderlake.operators.bronze import envelope
 from orderlake.operators.reports import stored_count
 from orderlake.plans import testbed
-from orderlake.schemas import EVENT_STORE, SILVER
+from orderlake.schemas import SILVER
 from orderlake.session import scratch_path, session_settings
 from orderlake.sources.catalog import register_views, table_row_counts
-from orderlake.sources.event_store import absent_rows, insert_if_absent, read_store
+from orderlake.sources.event_store import batch_ids, id_bucket, insert_if_absent, read_store
 from orderlake.sources.published import (
     commit_generation,
     current_generation,
@@ -30,7 +30,9 @@ from orderlake.sources.sinks import kafka_sink_options, write_partitioned
 def test_kafka_options():
     source = kafka_source_options("b:9092", "t")
     assert source["startingOffsets"] == "earliest" and source["failOnDataLoss"] == "true"
-    assert source["subscribe"] == "t"
+    assert source["subscribe"] == "t" and "maxOffsetsPerTrigger" not in source
+    bounded = kafka_source_options("b:9092", "t", 1000, 64)
+    assert bounded["maxOffsetsPerTrigger"] == "1000" and bounded["minPartitions"] == "64"
     sink = kafka_sink_options("b:9092", "t")
     assert sink["kafka.acks"] == "all" and sink["kafka.enable.idempotence"] == "true"
 
@@ -84,6 +86,16 @@ def test_table_row_counts(spark):
     register_views({"rc_one": spark.range(3), "rc_two": spark.range(5)})
     got = {r.dataset: r.row_count for r in table_row_counts(spark, pattern="rc_*").collect()}
     assert got == {"rc_one": 3, "rc_two": 5}
+    assert table_row_counts(spark, pattern="no_such_*").collect() == []
+
+
+def test_table_row_counts_of_a_named_database(spark):
+    spark.sql("CREATE DATABASE rc_named")
+    register_views({"rc_view": spark.range(9)})
+    assert table_row_counts(spark, "rc_named").collect() == []
+    for name, n in (("zz", 2), ("1a", 4)):
+        spark.range(n).write.saveAsTable(f"rc_named.`{name}`")
+    assert [tuple(r) for r in table_row_counts(spark, "rc_named").collect()] == [("1a", 4), ("zz", 2)]
 
 
 # -- published tables -----------------------------------------------------------
@@ -149,7 +161,7 @@ def test_insert_if_absent(spark, tmp_path):
     assert insert_if_absent(spark, batch, path, staging) == 2
     assert insert_if_absent(spark, batch, path, staging) == 0
     late = contract_events(spark, [event(order_amount="7.00"), None, "this-is-not-json"])
-    assert insert_if_absent(spark, late, path, staging, broadcast_limit=0) == 0
+    assert insert_if_absent(spark, late, path, staging) == 0
     stored = read_store(spark, path)
     assert stored.count() == 2
     assert stored_count(stored, EVENT_ID).first().stored_count == 1
@@ -168,12 +180,18 @@ def test_partly_written_batch_is_completed(spark, tmp_path):
     assert read_store(spark, path).select("event_id").distinct().count() == events.count()
 
 
-def test_small_batch_does_not_shuffle_the_store(spark):
-    store = spark.createDataFrame([], EVENT_STORE)
-    rows = spark.createDataFrame([], EVENT_STORE)
-    text = absent_rows(store, rows, True)._jdf.queryExecution().optimizedPlan().toString()
-    semi = text[text.index("LeftSemi"):]
-    assert "strategy=broadcast" in semi.splitlines()[0]
+def test_batch_reads_the_buckets_of_its_ids_only(spark, tmp_path):
+    path, staging = str(tmp_path / "store"), str(tmp_path / "staging")
+    raw = testbed.read_table(spark, "/root/testdata/sf0.001", "events")
+    insert_if_absent(spark, testbed.order_events(raw).drop("n", "message_key"), path, staging)
+    rows = spark.createDataFrame([(EVENT_ID,)], "event_id string")
+    (bucket,) = rows.select(id_bucket()).first()
+    plan = batch_ids(spark, path, rows)._jdf.queryExecution().executedPlan().toString()
+    assert f"(id_bucket#" in plan and f" = {bucket})" in plan.split("PartitionFilters:")[1]
+    assert "ReadSchema: struct<event_id:string>" in plan
+    held = batch_ids(spark, path, rows)
+    assert {r[0] for r in held.select(id_bucket()).distinct().collect()} == {bucket}
+    assert 0 < held.count() < read_store(spark, path).count() / 4
 
 
 def test_store_date_filter_prunes_folders(spark, tmp_path):

@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 import threading
 import time
 from datetime import datetime
@@ -12,7 +13,8 @@ from builders import ENVELOPE, EVENT_ID, event, messages
 from pyspark.sql import functions as F
 
 from orderlake.config import LakeConfig
-from orderlake.operators.bronze import to_bronze
+from orderlake.functions.strict import accepted, apply_contract
+from orderlake.operators.bronze import envelope, to_bronze
 from orderlake.operators.dedup import dedup_events
 from orderlake.operators.gold import order_metrics, status_distribution
 from orderlake.operators.silver import to_silver
@@ -20,11 +22,11 @@ from orderlake.plans import testbed
 from orderlake.plans.lake import build_lake, run_lake
 from orderlake.plans.refresh import METRICS, load_reporting_tables, read_mart, refresh_marts
 from orderlake.operators.quality import ConstraintError, QualityError
-from orderlake.schemas import GOLD_METRICS, GOLD_STATUS, METRICS_TABLE, QUARANTINE, SILVER
+from orderlake.schemas import BRONZE, GOLD_METRICS, GOLD_STATUS, METRICS_TABLE, QUARANTINE, SILVER
 from orderlake.sources import event_store
 from orderlake.sources.event_store import read_store
 from orderlake.sources.published import read_published
-from orderlake.sources.readers import scan, scan_if_available
+from orderlake.sources.readers import scan, scan_parts
 from orderlake.streaming import lake
 from orderlake.streaming.runner import finish, start_files, wait_for_any
 
@@ -160,8 +162,8 @@ def test_bounded_lake_equals_the_batch_lake(spark, tmp_path, config):
         ("silver", SILVER, ["event_id", "order_amount", "event_date"]),
         ("quarantine", QUARANTINE, ["raw_event", "validation_errors", "kafka_offset"]),
     ]:
-        streamed = scan(spark, getattr(config, path), schema).select(names)
-        built = scan(spark, getattr(other, path), schema).select(names)
+        streamed = scan_parts(spark, getattr(config, path), schema).select(names)
+        built = scan_parts(spark, getattr(other, path), schema).select(names)
         assert streamed.count() == built.count() > 0
         assert streamed.exceptAll(built).isEmpty()
 
@@ -176,13 +178,14 @@ def test_refresh_is_repeatable_and_stops_on_faults(spark, tmp_path):
     assert {tuple(r) for r in again.select(names).collect()} == first
 
     # Status counts that do not add up: the tables load, the mart stays.
-    gold = scan(spark, config.gold_status, GOLD_STATUS)
+    built = config.batch_part
+    gold = scan(spark, built(config.gold_status), GOLD_STATUS)
     gold.withColumns(
         {
             "status_event_count": F.col("status_event_count") + 1,
             "aggregated_at": F.col("aggregated_at") + F.expr("INTERVAL 1 DAY"),
         }
-    ).write.mode("append").partitionBy("window_date").parquet(config.gold_status)
+    ).write.mode("append").partitionBy("window_date").parquet(built(config.gold_status))
     with pytest.raises(QualityError, match="status_counts_reconcile"):
         refresh_marts(spark, config)
     kept = read_mart(spark, config, mart.schema)
@@ -191,10 +194,10 @@ def test_refresh_is_repeatable_and_stops_on_faults(spark, tmp_path):
     # A row the table would refuse: neither table moves.
     tables = f"{config.reporting}/tables"
     before = read_published(spark, tables, METRICS, METRICS_TABLE).count()
-    bad = scan(spark, config.gold_metrics, GOLD_METRICS).limit(1)
+    bad = scan(spark, built(config.gold_metrics), GOLD_METRICS).limit(1)
     bad.withColumns(
         {"currency": F.lit("XXX"), "window_end": F.col("window_start")}
-    ).write.mode("append").partitionBy("window_date").parquet(config.gold_metrics)
+    ).write.mode("append").partitionBy("window_date").parquet(built(config.gold_metrics))
     with pytest.raises(ConstraintError, match="window_end > window_start"):
         load_reporting_tables(spark, config)
     assert read_published(spark, tables, METRICS, METRICS_TABLE).count() == before
@@ -226,8 +229,8 @@ def test_continuous_lake(spark, tmp_path):
     try:
         for _ in range(90):
             time.sleep(1)
-            silver = scan_if_available(spark, config.silver, SILVER).count()
-            quarantine = scan_if_available(spark, config.quarantine, QUARANTINE).count()
+            silver = scan_parts(spark, config.silver, SILVER).count()
+            quarantine = scan_parts(spark, config.quarantine, QUARANTINE).count()
             if silver and quarantine:
                 break
         names = {q.name for q in spark.streams.active}
@@ -242,9 +245,50 @@ def test_continuous_lake(spark, tmp_path):
     assert not runner.is_alive() and not spark.streams.active
 
 
-def test_silver_writes_few_files_per_date(spark, config):
-    run_lake(spark, config, testbed.messages(testbed.stream_events(spark, SMOKE)), bounded=True)
-    for date in Path(config.silver).glob("event_date=*"):
-        assert len(list(date.glob("*.parquet"))) <= config.silver_files_per_date
-    for date in Path(config.gold_metrics).glob("window_date=*"):
+@pytest.mark.parametrize("bound", [None, 2])
+def test_tasks_that_write_a_date(spark, tmp_path, bound):
+    """All state partitions write a date that holds the whole batch, unless bounded."""
+    config = LakeConfig(
+        root=str(tmp_path / "lake"), state_partitions=8, silver_files_per_date=bound
+    )
+    raw = testbed.stream_events(spark, SMOKE).withColumn("ts", F.lit("2024-01-05").cast("timestamp"))
+    run_lake(spark, config, testbed.messages(raw), bounded=True)
+    (date,) = Path(config.stream_part(config.silver)).glob("event_date=*")
+    files = len(list(date.glob("*.parquet")))
+    assert files == bound if bound else files > 4
+    for date in Path(config.stream_part(config.gold_metrics)).glob("window_date=*"):
         assert len(list(date.glob("*.parquet"))) == 1
+
+
+def test_build_beside_streams_is_refused(spark, config):
+    messages = testbed.messages(testbed.read_table(spark, SMOKE, "events"))
+    build_lake(spark, config, messages)
+    build_lake(spark, config, messages)  # a build may follow a build
+    run_lake(spark, config, testbed.messages(testbed.stream_events(spark, SMOKE)), bounded=True)
+    silver = scan_parts(spark, config.silver, SILVER)
+    assert silver.count() == silver.select("event_id").distinct().count()
+    bronze = scan_parts(spark, config.bronze, BRONZE).count()
+    assert bronze == 2 * messages.count()
+    with pytest.raises(ValueError, match="streams have written"):
+        build_lake(spark, config, messages)
+    assert scan_parts(spark, config.bronze, BRONZE).count() == bronze
+    refresh_marts(spark, config)
+
+
+def test_store_of_a_lost_checkpoint_is_not_overwritten(spark, tmp_path, config):
+    topic = stream_of(spark, tmp_path, [event()])
+    finish(lake.start_event_store(topic, config, True, ids_in_state=True))
+    finish(lake.start_event_store(topic, config, True, ids_in_state=True))
+    assert read_store(spark, config.event_store).count() == 1
+    shutil.move(config.checkpoint("event_store_state"), str(tmp_path / "elsewhere"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        lake.start_event_store(topic, config, True, ids_in_state=True)
+
+
+def test_replayed_micro_batch_replaces_its_folder(spark, tmp_path):
+    path, staging = str(tmp_path / "store"), str(tmp_path / "staging")
+    events = accepted(apply_contract(envelope(messages(spark, [event(), None]))))
+    for _ in range(2):
+        assert event_store.append_batch(spark, events, path, staging, 0) == 1
+    assert read_store(spark, path).count() == 1
+    assert event_store.insert_if_absent(spark, events, path, staging) == 0
