@@ -92,14 +92,14 @@ class WordTable:
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
+        # Most words are letters, maybe with a full stop or a comma behind them.
+        bare = text.rstrip(_TAIL)
+        if bare.isalpha() and (bare.isascii() or _PLAIN.fullmatch(bare)):
+            piece = self.pieces[bare.lower()]
+            return piece if bare == text else piece + self.pieces[text[len(bare) :]]
         if not _PLAIN.fullmatch(text) or _SPECIAL in text:
             return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        text = text.lower()
-        bare = text.rstrip(_TAIL)
-        if bare.isalpha():
-            tail = text[len(bare) :]
-            return self.pieces[bare] + self.pieces[tail] if tail else self.pieces[bare]
-        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text)))
+        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
 
     def encode_all(self, texts: Iterable[bytes | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null is empty."""
