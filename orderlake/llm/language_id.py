@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType
 
-from orderlake.llm.tables import crc_part, fields, id_type
+from orderlake.llm.tables import crc_part, few_of, fields, first_of_each, id_type
 
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -138,23 +138,17 @@ def language_sample(
     """At most ``per_language`` (text, language) pairs of each language, none held out.
 
     Rows of a null id, text or language are no examples. The number of languages is
-    that of the labels in use, which does not grow with the rows.
+    that of the labels in use, which does not grow with the rows. The rows are counted
+    by language first, without reading texts, so that only a few have to be sorted.
     """
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
-    ).filter(
-        (crc_part("id", folds) != held_out)
-        & F.col("lang").isNotNull()
-        & (F.octet_length("text") <= max_text_bytes)
+    ).filter((crc_part("id", folds) != held_out) & F.col("lang").isNotNull())
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    few = rows.filter(few_of(F.col("lang"), counts, per_language, "id")).filter(
+        F.octet_length("text") <= max_text_bytes
     )
-    names = [row.lang for row in rows.select("lang").distinct().collect()]
-    sample = []
-    for name in sorted(names):
-        first = rows.filter(F.col("lang") == name).orderBy(
-            F.xxhash64("id"), "id", F.xxhash64("text")
-        )
-        sample += [(row.text, name) for row in first.select("text").limit(per_language).collect()]
-    return sample
+    return [(r.text, r.lang) for r in first_of_each(few, "lang", per_language).collect()]
 
 
 def identify(

@@ -8,9 +8,10 @@ nothing before them. What is read twice is written once.
 from __future__ import annotations
 
 import os
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
@@ -43,6 +44,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a sample is chosen among, for each row it is to have.
+SLACK = 4
+_HASHES = 1 << 30
+
+
+def few_of(group: Column, counts: dict, wanted: int, *keys: str) -> Column:
+    """Condition that leaves about SLACK * ``wanted`` rows of each group, by a hash.
+
+    ``counts`` has the rows of each group; smaller groups are left whole. What a sample
+    is then taken from does not grow with the rows or their partitions.
+    """
+    turn = F.pmod(F.xxhash64(*keys), F.lit(_HASHES))
+    share = {name: min(1.0, SLACK * wanted / max(1, n)) for name, n in counts.items()}
+    left = [(group == F.lit(name)) & (turn < int(x * _HASHES)) for name, x in share.items()]
+    return reduce(Column.__or__, left, F.lit(False))
+
+
+def first_of_each(rows: DataFrame, group: str, wanted: int) -> DataFrame:
+    """The first ``wanted`` (group, text) of each group of (group, id, text) by a hash of
+    the id; a row that repeats counts once."""
+    once = rows.groupBy(group, "id", F.xxhash64("text").alias("digest")).agg(
+        F.first("text").alias("text")
+    )
+    turn = Window.partitionBy(group).orderBy(F.xxhash64("id"), "id", "digest")
+    placed = once.withColumn("place", F.row_number().over(turn))
+    return placed.filter(F.col("place") <= wanted).orderBy(group, "place").select(group, "text")
+
+
 def id_type(df: DataFrame, column: str) -> DataType:
     return df.schema[column].dataType
 
