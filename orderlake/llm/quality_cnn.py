@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructType
 
-from orderlake.llm.tables import crc_part, fields
+from orderlake.llm.tables import SLACK, crc_part, few_of, fields, first_of_each
 
 WIDTH = 5
 FILTERS = 8
@@ -212,26 +212,25 @@ def labelled_sample(
     """At most ``per_class`` (text, label) pairs of each label, none of them held out.
 
     The first ones by a hash of the id, so the same whatever the order of the rows.
-    An id with both labels, a null id, label or text is no example.
+    An id with both labels, a null id, label or text is no example. The labels are
+    counted first, so that the ids to look for in the texts are a bounded list.
     """
-    sample = []
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    texts = texts.filter(F.length("text") <= max_text_bytes)
     marks = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
         .filter((crc_part("id", folds) != held_out) & F.col("label").isin(0, 1))
         .groupBy("id")
         .agg(F.min("label").alias("label"), F.max("label").alias("other"))
         .filter("label = other")
+        .select("id", "label")
     )
-    present = marks.join(texts.select("id"), "id", "left_semi")
-    turn = F.xxhash64("id")
-    for label in (0, 1):
-        ids = present.filter(F.col("label") == label).orderBy(turn, "id").limit(per_class)
-        found = texts.join(F.broadcast(ids.select("id")), "id")
-        rows = found.orderBy(turn, "id", F.xxhash64("text")).limit(per_class)
-        sample += [(bytes(row.text), label) for row in rows.select("text").collect()]
-    return sample
+    counts = {r.label: r.n for r in marks.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    ids = marks.filter(few_of(F.col("label"), counts, per_class, "id"))
+    # Some SLACK * per_class of each label are left, so this bound is never met.
+    ids = ids.limit(4 * SLACK * per_class)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    found = texts.filter(F.length("text") <= max_text_bytes).join(F.broadcast(ids), "id")
+    rows = first_of_each(found, "label", per_class).collect()
+    return [(bytes(r.text), r.label) for r in rows]
 
 
 def add_scores(
