@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from orderlake.llm.components import component_labels
-from orderlake.llm.tables import fields, written
+from orderlake.llm.tables import few_of, fields, written
 
 
 @dataclass(frozen=True)
@@ -192,7 +192,9 @@ def similar_vectors(
     )
     nodes = written(grouped.withColumn("node", F.monotonically_increasing_id()), "vectors")
 
-    learned = nodes.orderBy(F.xxhash64("vector")).select("vector").limit(sample).toPandas()
+    # Cut down by the hash first: sorting all would send so many rows of each partition.
+    few = nodes.filter(few_of(F.lit(0), {0: nodes.count()}, sample, "vector"))
+    learned = few.orderBy(F.xxhash64("vector")).select("vector").limit(sample).toPandas()
     units = _units(learned["vector"]) if len(learned) else np.zeros((0, max(dimension, 1)))
     keyed = _with_keys(
         nodes.select("node", "vector", "copies"), learn_rotation(units, bits), segments
