@@ -51,15 +51,17 @@ def status_distribution(
     )
 
 
-def hourly_facts(silver: DataFrame, window: str = "1 hour") -> DataFrame:
-    """Batch only: the common grain under both aggregates.
+def hourly_facts(
+    silver: DataFrame, window: str = "1 hour", delay: str | None = None
+) -> DataFrame:
+    """The common grain under both aggregates; a stream needs its ``delay``.
 
     Scanning silver once for this and rolling it up twice replaces two scans of
     the largest table by one.
     """
     return _per_window(
         silver,
-        None,
+        delay,
         window,
         ["currency", "order_status", "event_type"],
         F.count("*").alias("events"),

@@ -88,6 +88,25 @@ def is_written(spark: SparkSession, path: str, schema: StructType) -> bool:
     return not scan_if_available(spark, path, schema).isEmpty()
 
 
+def require_checkpoint(
+    spark: SparkSession, checkpoint: str, dataset: str, schema: StructType
+) -> None:
+    """Refuse to start a stream anew beside what it wrote to ``dataset`` before.
+
+    For streams that write a folder for each micro-batch: they would number those from
+    the start again and overwrite the first ones.
+    """
+    try:
+        spark.read.text(f"{checkpoint}/metadata")
+    except AnalysisException as error:
+        if error.getCondition() != _NO_PATH:
+            raise
+        if is_written(spark, LakeConfig.stream_part(dataset), schema):
+            raise ValueError(
+                f"{dataset} holds rows of a stream whose checkpoint {checkpoint} is gone"
+            ) from error
+
+
 def scan_parts(spark: SparkSession, dataset: str, schema: StructType) -> DataFrame:
     """A dataset as a whole: what batches and what streams have written.
 
@@ -108,7 +127,8 @@ def scan_final(
     A stream that runs beside a batch build counts the batch's events too, so its
     final windows are whole; until then the batch's row is what there is.
     """
-    streamed = scan_if_available(spark, LakeConfig.stream_part(dataset), schema)
+    names = schema.fieldNames()
+    streamed = scan_if_available(spark, LakeConfig.stream_part(dataset), schema).select(names)
     built = scan_if_available(spark, LakeConfig.batch_part(dataset), schema)
     return built.join(streamed.select(keys), keys, "left_anti").select(
         built.columns

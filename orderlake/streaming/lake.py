@@ -9,11 +9,19 @@ from pyspark.sql.streaming import StreamingQuery
 from orderlake.config import LakeConfig
 from orderlake.functions.strict import accepted, apply_contract
 from orderlake.operators.bronze import envelope, to_bronze
-from orderlake.operators.gold import order_metrics, status_distribution
+from orderlake.operators.gold import hourly_facts, metrics_from_facts, status_from_facts
 from orderlake.operators.silver import to_quarantine, to_silver
-from orderlake.schemas import BRONZE, POSITION_COLUMNS, SILVER
-from orderlake.sources.event_store import append_batch, insert_if_absent, require_checkpoint
-from orderlake.sources.readers import is_written, scan, stream_parquet
+from orderlake.schemas import (
+    BRONZE,
+    EVENT_STORE,
+    GOLD_METRICS,
+    GOLD_STATUS,
+    POSITION_COLUMNS,
+    SILVER,
+)
+from orderlake.sources.event_store import append_batch, insert_if_absent
+from orderlake.sources.readers import is_written, require_checkpoint, scan, stream_parquet
+from orderlake.sources.sinks import write_partitioned
 from orderlake.streaming.runner import gather, start_batches, start_files
 
 
@@ -78,36 +86,38 @@ def start_gold(
 ) -> list[StreamingQuery]:
     """Silver to both gold aggregates; a window is written once it is final.
 
+    One query counts the hourly facts under both, so silver is read once and both sets
+    agree on what came too late. A micro-batch is a folder of each set, which a replay
+    overwrites. The metrics are written last: whatever windows they show, the status
+    counts are there.
+
     Events of a batch build are counted too, so that a window that both have events of
     is whole. They all belong to the first micro-batch, when nothing is late yet.
     """
+    name, staging = "gold_orders", f"{config.root}/staging/gold_orders"
+    for dataset, schema in ((config.gold_metrics, GOLD_METRICS), (config.gold_status, GOLD_STATUS)):
+        require_checkpoint(spark, config.checkpoint(name), dataset, schema)
     silver = stream_parquet(
         spark, config.stream_part(config.silver), SILVER, config.max_files_per_trigger
     )
     built = config.batch_part(config.silver)
     if is_written(spark, built, SILVER):
         silver = silver.unionByName(stream_parquet(spark, built, SILVER, None))
-    parts = {
-        "gold_order_metrics": (order_metrics, config.gold_metrics),
-        "gold_order_status": (status_distribution, config.gold_status),
-    }
-    return [
-        start_files(
-            # A date holds windows times currencies at most: one file will do.
-            gather(
-                build(silver, config.gold_delay, config.window),
-                "window_date",
-                files=1,
-                split_by="currency",
-            ),
-            config,
-            name=name,
-            path=config.stream_part(path),
-            partition_column="window_date",
-            bounded=bounded,
-        )
-        for name, (build, path) in parts.items()
-    ]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(staging)
+        facts = scan(spark, staging, batch.schema)
+        if facts.isEmpty():
+            return
+        for frame, dataset in (
+            (status_from_facts(facts), config.gold_status),
+            (metrics_from_facts(facts), config.gold_metrics),
+        ):
+            folder = f"{config.stream_part(dataset)}/batch_id={batch_id}"
+            write_partitioned(frame, folder, "window_date")
+
+    facts = hourly_facts(silver, config.window, config.gold_delay)
+    return [start_batches(facts, config, name=name, handle=write, bounded=bounded)]
 
 
 def start_event_store(
@@ -138,7 +148,7 @@ def start_event_store(
         return start_batches(events, config, name="event_store", handle=handle, bounded=bounded)
 
     name = "event_store_state"
-    require_checkpoint(spark, config.checkpoint(name), config.event_store)
+    require_checkpoint(spark, config.checkpoint(name), config.event_store, EVENT_STORE)
 
     def append(batch: DataFrame, batch_id: int) -> None:
         append_batch(spark, batch, config.event_store, f"{staging}_state", batch_id)

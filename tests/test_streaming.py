@@ -22,11 +22,11 @@ from orderlake.plans import testbed
 from orderlake.plans.lake import build_lake, run_lake
 from orderlake.plans.refresh import METRICS, load_reporting_tables, read_mart, refresh_marts
 from orderlake.operators.quality import ConstraintError, QualityError
-from orderlake.schemas import BRONZE, GOLD_METRICS, GOLD_STATUS, METRICS_TABLE, QUARANTINE, SILVER
+from orderlake.schemas import BRONZE, GOLD_METRICS, GOLD_STATUS, METRICS_TABLE, QUARANTINE, SILVER, STATUS_KEY
 from orderlake.sources import event_store
 from orderlake.sources.event_store import read_store
 from orderlake.sources.published import read_published
-from orderlake.sources.readers import scan, scan_parts
+from orderlake.sources.readers import scan, scan_final, scan_parts
 from orderlake.streaming import lake
 from orderlake.streaming.runner import finish, start_files, wait_for_any
 
@@ -221,7 +221,7 @@ def test_all_queries_stop_when_one_ends(spark, tmp_path, config):
 
 
 def test_continuous_lake(spark, tmp_path):
-    """All five queries run side by side from nothing, until one is stopped."""
+    """All four queries run side by side from nothing, until one is stopped."""
     config = LakeConfig(root=str(tmp_path / "lake"), trigger_interval="1 second", state_partitions=2)
     topic = stream_of(spark, tmp_path, [event(), "this-is-not-json"])
     runner = threading.Thread(target=run_lake, args=(spark, config, topic))
@@ -240,7 +240,7 @@ def test_continuous_lake(spark, tmp_path):
         runner.join(60)
     assert (silver, quarantine) == (1, 1)
     assert names == {
-        "bronze_orders", "silver_orders", "quarantine_orders", "gold_order_metrics", "gold_order_status"
+        "bronze_orders", "silver_orders", "quarantine_orders", "gold_orders"
     }
     assert not runner.is_alive() and not spark.streams.active
 
@@ -256,8 +256,32 @@ def test_tasks_that_write_a_date(spark, tmp_path, bound):
     (date,) = Path(config.stream_part(config.silver)).glob("event_date=*")
     files = len(list(date.glob("*.parquet")))
     assert files == bound if bound else files > 4
-    for date in Path(config.stream_part(config.gold_metrics)).glob("window_date=*"):
-        assert len(list(date.glob("*.parquet"))) == 1
+    dates = list(Path(config.stream_part(config.gold_metrics)).glob("batch_id=*/window_date=*"))
+    assert all(len(list(date.glob("*.parquet"))) == 1 for date in dates)
+
+
+def test_gold_sets_agree_whenever_a_write_stops(spark, tmp_path, config, monkeypatch):
+    """Status counts without metrics do no harm, and the replay completes the pair."""
+    run_hops = testbed.messages(testbed.stream_events(spark, SMOKE))
+    finish(lake.start_bronze(run_hops, config, bounded=True))
+    finish(*lake.start_silver(spark, config, bounded=True))
+    real = lake.write_partitioned
+
+    def fail_on_metrics(df, path, *columns, **kwargs):
+        if "order_metrics" in path:
+            raise RuntimeError("disk is full")
+        real(df, path, *columns, **kwargs)
+
+    monkeypatch.setattr(lake, "write_partitioned", fail_on_metrics)
+    with pytest.raises(Exception, match="disk is full"):
+        finish(*lake.start_gold(spark, config, bounded=True))
+    with pytest.raises(FileNotFoundError):
+        refresh_marts(spark, config)
+    monkeypatch.undo()
+    finish(*lake.start_gold(spark, config, bounded=True))
+    mart = refresh_marts(spark, config)
+    status = scan_final(spark, config.gold_status, GOLD_STATUS, STATUS_KEY)
+    assert mart.agg(F.sum("order_event_count")).first()[0] == status.agg(F.sum("status_event_count")).first()[0]
 
 
 def test_build_beside_streams_is_refused(spark, config):
