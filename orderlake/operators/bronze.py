@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.once import compute_once
-from orderlake.schemas import BRONZE, EVENT, EVENT_COLUMNS
+from orderlake.schemas import BRONZE, EVENT, EVENT_COLUMNS, POSITION_COLUMNS
 
 
 def envelope(messages: DataFrame) -> DataFrame:
@@ -14,10 +14,7 @@ def envelope(messages: DataFrame) -> DataFrame:
     return messages.select(
         F.col("key").cast("string").alias("message_key"),
         F.col("value").cast("string").alias("raw_event"),
-        F.col("topic").alias("kafka_topic"),
-        F.col("partition").alias("kafka_partition"),
-        F.col("offset").alias("kafka_offset"),
-        F.col("timestamp").alias("kafka_timestamp"),
+        *[F.col(name.removeprefix("kafka_")).alias(name) for name in POSITION_COLUMNS],
     )
 
 

@@ -11,7 +11,8 @@ from orderlake.functions.contract import ORDER_STATUSES
 from orderlake.operators.mart import MART_KEY, STATUS_COUNT_COLUMN
 from orderlake.schemas import METRICS_KEY, STATUS_KEY
 
-# Which columns of which dataset must never be null.
+# Which columns of which dataset must never be null, and which measures of
+# the mart must never be negative.
 NOT_NULL_COLUMNS = {
     "order_metrics_hourly": [
         "window_start",

@@ -9,19 +9,24 @@ from pyspark.sql import functions as F
 
 from orderlake.operators.quality import repeated_keys
 
+# The columns that each inspection shows, in order.
+LATEST_EVENT = "event_id event_type order_status order_amount currency event_time event_date".split()
+RECENT_METRICS = (
+    "window_start currency created_order_count completed_order_count revenue average_order_value"
+).split()
+STORED_EVENT = "event_id event_type order_status order_amount event_time".split()
+BRONZE_PREVIEW = (
+    "event_id event_type order_status order_amount kafka_partition kafka_offset is_valid_json"
+).split()
+QUARANTINE_PREVIEW = (
+    "validation_errors raw_event kafka_partition kafka_offset validated_at"
+).split()
+
 
 def latest_events(silver: DataFrame, n: int = 20) -> DataFrame:
     """The newest events by event time."""
     return (
-        silver.select(
-            "event_id",
-            "event_type",
-            "order_status",
-            "order_amount",
-            "currency",
-            "event_time",
-            "event_date",
-        )
+        silver.select(LATEST_EVENT)
         .orderBy(F.col("event_time").desc(), "event_id")
         .limit(n)
     )
@@ -42,14 +47,7 @@ def latest_status(gold_status: DataFrame, n: int = 20) -> DataFrame:
 def recent_metrics(metrics_table: DataFrame, n: int = 10) -> DataFrame:
     """The newest windows of the reporting table."""
     return (
-        metrics_table.select(
-            "window_start",
-            "currency",
-            "created_order_count",
-            "completed_order_count",
-            "revenue",
-            "average_order_value",
-        )
+        metrics_table.select(RECENT_METRICS)
         .orderBy(F.col("window_start").desc(), "currency")
         .limit(n)
     )
@@ -60,7 +58,7 @@ def recent_store_events(store: DataFrame, n: int = 10) -> DataFrame:
     return (
         store.orderBy(F.col("ingested_at").desc(), "event_id")
         .limit(n)
-        .select("event_id", "event_type", "order_status", "order_amount", "event_time")
+        .select(STORED_EVENT)
     )
 
 
@@ -69,15 +67,7 @@ def preview_bronze(bronze: DataFrame, n: int = 20) -> DataFrame:
     return (
         bronze.orderBy("kafka_partition", "kafka_offset")
         .limit(n)
-        .select(
-            "event_id",
-            "event_type",
-            "order_status",
-            "order_amount",
-            "kafka_partition",
-            "kafka_offset",
-            "is_valid_json",
-        )
+        .select(BRONZE_PREVIEW)
     )
 
 
@@ -86,13 +76,7 @@ def preview_quarantine(quarantine: DataFrame, n: int = 20) -> DataFrame:
     return (
         quarantine.orderBy("kafka_partition", "kafka_offset")
         .limit(n)
-        .select(
-            "validation_errors",
-            "raw_event",
-            "kafka_partition",
-            "kafka_offset",
-            "validated_at",
-        )
+        .select(QUARANTINE_PREVIEW)
     )
 
 

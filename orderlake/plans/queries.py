@@ -40,6 +40,7 @@ from orderlake.plans.refresh import (
 from orderlake.schemas import (
     EVENT_COLUMNS,
     GOLD_METRICS,
+    GOLD_STATUS,
     METRICS_KEY,
     METRICS_TABLE,
     POSITION_COLUMNS,
@@ -72,17 +73,8 @@ from orderlake.streaming.runner import finish, start_files
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-METRIC_COLUMNS = [
-    "window_start",
-    "window_end",
-    "currency",
-    "order_event_count",
-    "created_order_count",
-    "completed_order_count",
-    "revenue",
-    "average_order_value",
-]
-STATUS_COLUMNS = ["window_start", "window_end", "currency", "order_status", "status_event_count"]
+METRIC_COLUMNS = [n for n in GOLD_METRICS.fieldNames() if n not in ("aggregated_at", "window_date")]
+STATUS_COLUMNS = [n for n in GOLD_STATUS.fieldNames() if n not in ("aggregated_at", "window_date")]
 STORE = "order_events"
 CLOCK_COLUMNS = ["ingested_at", "validated_at", "aggregated_at", "loaded_at"]
 

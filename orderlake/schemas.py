@@ -29,6 +29,7 @@ def _fields(required: bool, **types: DataType) -> list[StructField]:
     return [StructField(name, kind, not required) for name, kind in types.items()]
 
 
+# Names and types of the event and of its place in the transport.
 _EVENT = dict(
     event_id=StringType(),
     event_type=StringType(),
