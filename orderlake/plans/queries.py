@@ -61,7 +61,6 @@ from orderlake.sources.readers import (
     scan_pruned,
     stream_parquet,
 )
-from orderlake.sources.sinks import write_partitioned
 from orderlake.streaming.lake import (
     start_bronze,
     start_event_store,
