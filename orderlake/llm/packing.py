@@ -11,25 +11,39 @@ The rows are dealt at random, by a hash of their place, to shards of about
 cluster meets in one task; bins of different shards share no document, so conflicts
 cannot arise between them. A shard leaves a few bins open at its end, which is a small
 part of its bins.
+
+Near copies are one cluster: texts whose shingles of five words have a Jaccard similarity
+of 0.8 or more. As only documents of one shard can meet, they are found there, exactly:
+a prefix of each set of shingles, the rarest first, is looked up, and what meets is
+compared over all shingles. SimHash classes, which hold other pairs, come from the whole
+corpus and are added by ``pack_apart``.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Hashable, Iterable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
-from orderlake.llm.tables import fields, id_type
+from orderlake.llm.simhash import simhash_components
+from orderlake.llm.tables import fields, id_type, written
 from orderlake.llm.text import SPACE_CLASS, SPACES, words_of
 
 CAPACITY = 2048
 DOCS_PER_SHARD = 4096
 #: Bin ids of a shard begin at its number times this.
 BINS_PER_SHARD = 1 << 32
+#: Words of a shingle, and the share of shingles (in hundredths) that near copies have in common.
+SHINGLE = 5
+NEAR = 80
+#: Counters of the shingles' approximate frequency, which only orders them.
+_COUNTERS = 1 << 20
 
 
 def best_fit(
@@ -83,6 +97,80 @@ def text_cluster(text: Column) -> Column:
     return F.md5(F.lower(F.regexp_replace(bare, f"[{SPACE_CLASS}]+", " ")).cast("binary"))
 
 
+def _shingles(text: str | None, vocabulary: dict[str, int]) -> np.ndarray:
+    """Distinct shingles of a text, sorted; fewer words than a shingle are one shingle."""
+    words = (text or "").lower().split()
+    known = np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words], np.uint64)
+    mixed = (known ^ (known >> np.uint64(7))) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    width = min(SHINGLE, len(words))
+    n = len(words) - width + 1
+    out = np.full(n, width, np.uint64)
+    for j in range(width):
+        out = (out ^ (out >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) + mixed[j : j + n]
+    return np.unique(out)
+
+
+def near_classes(
+    texts: Iterable[str | None], *clusters: Iterable[Hashable]
+) -> list[int]:
+    """A number for each text, the same for near copies and for equal clusters but None.
+
+    Links are followed: what is a near copy of a near copy has the same number. Texts
+    that are joined already are not compared, so a crowd of copies costs little.
+    """
+    vocabulary: dict[str, int] = {}
+    sets = [_shingles(text, vocabulary) for text in texts]
+    parent = list(range(len(sets)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    first: dict[tuple[Hashable, Hashable], int] = {}
+    nodes = []
+    counters = np.zeros(_COUNTERS, np.int32)
+    for number, kind in enumerate(clusters):
+        for i, cluster in enumerate(kind):
+            if cluster is not None:
+                parent[root(i)] = root(first.setdefault((number, cluster), i))
+    for i, own in enumerate(sets):
+        same = first.setdefault(("set", own.tobytes()), i)
+        parent[root(i)] = root(same)
+        if same == i:
+            nodes.append(i)
+            np.add.at(counters, (own % np.uint64(_COUNTERS)).astype(np.intp), 1)
+    # Sets with enough in common share an element of these prefixes, in any common order.
+    prefixes = []
+    for i in nodes:
+        own = sets[i]
+        order = np.argsort(counters[(own % np.uint64(_COUNTERS)).astype(np.intp)], kind="stable")
+        prefixes.append(own[order[: len(own) - -(-NEAR * len(own) // 100) + 1]])
+    if not prefixes:
+        return []
+    owners = np.repeat(nodes, [len(x) for x in prefixes])
+    elements = np.concatenate(prefixes)
+    order = np.argsort(elements, kind="stable")
+    elements, owners = elements[order], owners[order]
+    bounds = np.flatnonzero(np.r_[True, elements[1:] != elements[:-1], True])
+    compared: set[tuple[int, int]] = set()
+    for k in np.flatnonzero(np.diff(bounds) > 1):
+        met = owners[bounds[k] : bounds[k + 1]].tolist()
+        for at, i in enumerate(met):
+            for j in met[:at]:
+                if root(i) == root(j) or (j, i) in compared:
+                    continue
+                compared.add((j, i))
+                sizes = len(sets[i]), len(sets[j])
+                if 100 * min(sizes) < NEAR * max(sizes):
+                    continue
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * common >= NEAR * (sum(sizes) - common):
+                    parent[root(i)] = root(j)
+    return [root(i) for i in range(len(sets))]
+
+
 def pack_documents(
     docs: DataFrame,
     capacity: int = CAPACITY,
@@ -91,6 +179,7 @@ def pack_documents(
     text_col: str = "text",
     source_col: str = "source",
     cluster: Column | None = None,
+    classes: DataFrame | None = None,
 ) -> DataFrame:
     """(id_col, piece, start, length, bin_id, bin_offset) of every piece of every row.
 
@@ -98,7 +187,9 @@ def pack_documents(
     ``start`` is where the piece begins in its document, ``bin_offset`` where it begins
     in its bin, both in words; the pieces of a document cover it whole, and the bins
     are filled without gaps. ``cluster`` is any column of what must not share a bin,
-    by default the text but for case and white space.
+    by default the text but for case and white space; near copies share no bin whatever
+    their cluster, nor do documents linked by both. ``classes`` (_place, component_id)
+    adds classes over the whole corpus; ``docs`` then has a unique number ``_place``.
 
     A null or empty text is a piece of length 1, its end mark, and all such texts are
     one cluster. A null source conflicts with no other. Null ids and rows that repeat
@@ -107,12 +198,16 @@ def pack_documents(
     """
     shards = max(1, -(-docs.count() // docs_per_shard))
     text = F.col(text_col)
+    place = F.monotonically_increasing_id() if classes is None else F.col("_place")
+    shard_of = F.pmod(F.xxhash64(place), F.lit(shards))
     measured = docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).cast("string").alias("source"),
         (text_cluster(text) if cluster is None else cluster.cast("string")).alias("cluster"),
         text_length(text).alias("length"),
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).alias("shard"),
+        text.alias("text"),
+        place.alias("place"),
+        shard_of.alias("shard"),
     )
 
     def pack(shard: pd.DataFrame) -> pd.DataFrame:
@@ -122,9 +217,12 @@ def pack_documents(
         )
         base = int(shard["shard"].iloc[0]) * BINS_PER_SHARD
         ids, lengths = shard["id"].to_numpy(), shard["length"].to_numpy()
-        conflicts = [
+        sources, clusters = (
             [None if pd.isna(x) else x for x in shard[name]] for name in ("source", "cluster")
-        ]
+        )
+        near = near_classes(shard["text"], clusters, shard.get("component", []))
+        members = Counter(near)
+        conflicts = [sources, [x if members[x] > 1 else None for x in near]]
         rows: list[tuple] = []
         rests = []
         full = 0
@@ -152,4 +250,39 @@ def pack_documents(
         ("bin_id", LongType()),
         ("bin_offset", LongType()),
     )
-    return measured.groupBy("shard").applyInPandas(pack, schema)
+    if classes is None:
+        return measured.groupBy("shard").applyInPandas(pack, schema)
+
+    def pack_classes(shard: pd.DataFrame, classes: pd.DataFrame) -> pd.DataFrame:
+        of_place = classes.set_index("_place")["component_id"]
+        # Both bind: a class takes in the clusters of its members.
+        return pack(shard.assign(component=shard["place"].map(of_place).to_numpy()))
+
+    dealt = classes.select("_place", "component_id", shard_of.alias("shard"))
+    return (
+        measured.groupBy("shard").cogroup(dealt.groupBy("shard")).applyInPandas(pack_classes, schema)
+    )
+
+
+def pack_apart(
+    docs: DataFrame,
+    capacity: int = CAPACITY,
+    docs_per_shard: int = DOCS_PER_SHARD,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """``pack_documents`` with the SimHash classes of ``docs`` kept apart too.
+
+    Rows get a number of their own, so null ids and rows that repeat are classed row by
+    row. The texts are written once, and shuffled once.
+    """
+    numbered = docs.select(
+        F.col(id_col), F.col(text_col), F.col(source_col),
+        F.monotonically_increasing_id().alias("_place"),
+    )
+    numbered = written(numbered, "numbered")
+    classes = simhash_components(numbered, id_col="_place", text_col=text_col)
+    return pack_documents(
+        numbered, capacity, docs_per_shard, id_col, text_col, source_col, classes=classes
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlake.llm import oracles
 from orderlake.llm.language_id import identify_languages
 from orderlake.llm.license_scan import scan_licenses
-from orderlake.llm.packing import pack_documents
+from orderlake.llm.packing import pack_apart
 from orderlake.llm.piece_tokens import piece_digests
 from orderlake.llm.quality_cnn import classify_quality
 from orderlake.llm.quality_rules import RULE_COLUMNS, apply_rules
@@ -42,7 +42,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequence and place of every piece of every document."""
-    return pack_documents(read_table(spark, sf_dir, "documents"))
+    return pack_apart(read_table(spark, sf_dir, "documents"))
 
 
 @_query
