@@ -10,7 +10,8 @@ the templates. A file is scanned in three steps:
    are a short list too.
 2. Each place of such a word, together with each of its postings, says where the template
    would begin. Equal beginnings are one candidate: the postings are intersected by
-   relative position.
+   relative position. The places of the template's key phrase say so too, so that a
+   notice is also met where its rare words are shifted or stand elsewhere.
 3. A candidate counts if its key phrase stands where it should and enough of the
    template's other words do too. The share of them is its score.
 
@@ -208,6 +209,16 @@ def _beginnings(words: Column, template: Column, held: Column, limits: ScanLimit
     return let(rare, from_rare)
 
 
+def _phrase_beginnings(words: Column, template: Column) -> Column:
+    """Where the template would begin by each place of its key phrase."""
+    first = F.filter(
+        F.transform(words, lambda w, i: F.when(w == template["phrase"][0], i)),
+        lambda i: i.isNotNull(),
+    )
+    places = F.filter(first, lambda i: _phrase_at(words, i, template["phrase"]))
+    return F.transform(places, lambda i: i - template["start"])
+
+
 def _share(words: Column, template: Column, begin: Column) -> Column:
     equal = F.filter(
         F.transform(
@@ -227,7 +238,7 @@ def _found_templates(
 
     def best(t: Column) -> Column:
         verified = F.filter(
-            _beginnings(words, t, held, limits),
+            F.array_union(_beginnings(words, t, held, limits), _phrase_beginnings(words, t)),
             lambda begin: _phrase_at(words, begin + t["start"], t["phrase"]),
         )
         share = F.array_max(F.transform(verified, lambda begin: _share(words, t, begin)))

@@ -92,3 +92,17 @@ def test_best_fit_takes_the_tightest_compatible_bin():
     # 40 of a does not fit behind 60 of a; 40 of c does; 10 of cluster 2 not behind 50.
     assert best_fit(items, 100) == [(0, 0), (1, 0), (1, 50), (0, 60), (2, 0), (1, 90)]
     assert best_fit([(200, "a", 1), (1, "b", 2)], 100) == [(0, 0), (1, 0)]
+
+
+def test_scan_finds_notices_whose_rare_words_are_shifted(spark):
+    notice = (
+        "Redistribution and use in source and binary forms, with or without any modification, "
+        "are permitted provided that the following conditions are met"
+    )
+    common = notice.replace("conditions are met", "")
+    late = f"conditions met {'x ' * 50} {notice} {'y ' * 50} met conditions"
+    texts = [common, common, notice, late]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in scan_licenses(docs).collect()}
+    assert rows[2].labels == rows[3].labels == "bsd"
+    assert rows[2].score == rows[3].score == 11 / 21
