@@ -61,8 +61,10 @@ def seen_before(data: np.ndarray) -> np.ndarray:
     for j in range(GRAM):
         full = full * np.uint32(0x01000193) + data[j : j + n]
     full *= np.uint32(0x9E3779B1)
-    short = (full >> np.uint32(16)).astype(np.uint16)
-    order = np.argsort(short, kind="stable")
+    # Sorting 16 bits is a radix sort; two stable passes order by all 32.
+    order = np.argsort(full.astype(np.uint16), kind="stable")
+    high = (full >> np.uint32(16)).astype(np.uint16)
+    order = order[np.argsort(high[order], kind="stable")]
     before, after = order[:-1], order[1:]
     same = full[before] == full[after]
     at, gap = after[same], (after - before)[same]

@@ -147,3 +147,11 @@ def test_mixtures_are_taken_apart(docs):
     found, _ = language_id._proportions(model.likelihood[slots], counts[slots].astype(float))
     two = sorted(zip(found, model.languages))[-2:]
     assert [name for _, name in two] == ["de", "en"]
+
+
+def test_repeats_are_seen_in_long_texts():
+    """A text of random bytes, twice: the second half was all seen before, far back."""
+    half = np.random.default_rng(5).integers(0, 256, 150_000).astype(np.uint8)
+    kinds = seen_before(np.concatenate([half, half]))
+    assert (kinds[150_000 + 7 :] == 3).mean() > 0.999
+    assert (kinds[:150_000] > 0).mean() < 0.001
