@@ -123,3 +123,49 @@ SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, first_word, last_wor
        CASE WHEN n > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
 FROM docs LEFT JOIN based USING (r) LEFT JOIN more USING (r)
 """
+
+SOURCE_AUDIT = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), words AS (
+    SELECT r, lang, source,
+           unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM docs
+), counts AS (
+    SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS d FROM words GROUP BY ALL
+), kept AS (
+    SELECT lang, term, sum(n) AS n_lang FROM counts GROUP BY lang, term HAVING sum(d) >= 3
+), langs AS (
+    SELECT lang, count(*) AS v, sum(n_lang) AS n_all FROM kept GROUP BY lang
+), kept_counts AS (
+    SELECT lang, source, term, n FROM counts SEMI JOIN kept USING (lang, term)
+), groups AS (
+    SELECT lang, source, coalesce(sum(n), 0) AS n_source
+    FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN kept_counts USING (lang, source)
+    GROUP BY lang, source
+), shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.n_source + l.v) AS p,
+           1 + (1000000000::HUGEINT * (k.n_lang + 1)) // (l.n_all + l.v) AS q
+    FROM groups g JOIN langs l ON l.lang = g.lang JOIN kept k ON k.lang = g.lang
+    LEFT JOIN kept_counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), sums AS (
+    SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+    GROUP BY ALL
+), pairs AS (
+    SELECT x.lang, x.source, y.source AS item, coalesce(s.value, 0) AS value
+    FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+    LEFT JOIN sums s ON s.lang = x.lang AND s.source = x.source AND s.item = y.source
+), both_parts AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM both_parts
+QUALIFY part = 'pair' OR rank <= 200
+"""

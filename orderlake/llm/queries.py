@@ -15,6 +15,7 @@ from orderlake.llm.piece_tokens import piece_digests
 from orderlake.llm.quality_cnn import classify_quality
 from orderlake.llm.quality_rules import RULE_COLUMNS, apply_rules
 from orderlake.llm.simhash import simhash_components
+from orderlake.llm.source_audit import audit_sources
 from orderlake.llm.surrogates import replace_entities
 from orderlake.llm.tables import read_table
 from orderlake.llm.token_files import token_digests, write_token_files
@@ -107,3 +108,12 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with surrogates in place of its personal data."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return replace_entities(docs, SURROGATE_KEY)
+
+
+@_query
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the words of every source differ from its language's and from other sources'."""
+    return audit_sources(read_table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLES["op11_source_audit"] = oracles.SOURCE_AUDIT

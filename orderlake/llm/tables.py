@@ -44,6 +44,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a table may have to be sent whole to every task.
+SMALL = 100_000
+
+
+def small(table: DataFrame) -> DataFrame:
+    """``table`` marked for a broadcast if it has few rows; else Spark deals it out by key.
+
+    For tables that were written, whose rows are counted from the files, and of rows
+    whose own size is bounded.
+    """
+    return F.broadcast(table) if table.count() <= SMALL else table
+
+
 #: Rows that a sample is chosen among, for each row it is to have.
 SLACK = 4
 _HASHES = 1 << 30
