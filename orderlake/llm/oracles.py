@@ -169,3 +169,26 @@ SELECT lang, source, part, item, value::BIGINT AS value,
 FROM both_parts
 QUALIFY part = 'pair' OR rank <= 200
 """
+
+HARD_NEGATIVES = """
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+           list_dot_product(a.v, r.v)::BIGINT AS score
+    FROM whole a JOIN whole r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""

@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlake.llm import oracles
+from orderlake.llm.hard_negatives import mine_negatives
 from orderlake.llm.language_id import identify_languages
 from orderlake.llm.license_scan import scan_licenses
+from orderlake.llm.nearest import nearest_vectors
 from orderlake.llm.packing import pack_apart
 from orderlake.llm.piece_tokens import piece_digests
 from orderlake.llm.quality_cnn import classify_quality
@@ -117,3 +120,20 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_ORACLES["op11_source_audit"] = oracles.SOURCE_AUDIT
+
+
+@_query
+def op12_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found of every hundredth id."""
+    return nearest_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth id, where every seventh has a wrong label."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(vectors.withColumn("label", wrong))
+
+
+LLM_ORACLES["op13_hard_negatives"] = oracles.HARD_NEGATIVES

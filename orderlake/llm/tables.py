@@ -44,6 +44,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def anew(df: DataFrame) -> DataFrame:
+    """``df`` with columns of its own, for a cogroup with a frame of the same origin."""
+    return df.toDF(*df.columns)
+
+
 #: Rows that a table may have to be sent whole to every task.
 SMALL = 100_000
 
