@@ -34,9 +34,9 @@ from orderlake.llm.vectors import block_of, blocks_of, common_dimension, each_of
 
 #: Components beyond this could overflow a score of up to 2^15 of them.
 LIMIT = 1 << 24
-_LOWEST = np.iinfo(np.int64).min
-#: Places of every list that are read before scores are looked at; doubled each time.
-_FIRST_STEP = 4
+_LOWEST, _HIGHEST = np.iinfo(np.int64).min + 1, np.iinfo(np.int64).max
+#: Places of every list that are read before scores are looked at, and how that grows.
+_FIRST_STEP, _GROWTH = 4, 3
 
 
 class SortedLists:
@@ -45,7 +45,14 @@ class SortedLists:
     def __init__(self, values: np.ndarray, ids: np.ndarray, places: np.ndarray, labels: np.ndarray):
         self.values, self.ids, self.places, self.labels = values, ids, places, labels
         self.rising = np.argsort(values, axis=0, kind="stable")
-        self.columns = np.arange(values.shape[1])
+        self.largest = int(np.abs(values).max(initial=0)) * values.shape[1]
+        self.floats = values.astype(np.float64)
+
+    def scores(self, rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+        """Exact scores: sums below 2^53 are whole in doubles, and faster there."""
+        if self.largest * int(np.abs(anchor).max(initial=0)) < 1 << 53:
+            return (self.floats[rows] @ anchor.astype(np.float64)).astype(np.int64)
+        return self.values[rows] @ anchor
 
     def descend(self, anchor: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         """(rows, their scores, threshold) of what comes into sight, step by step.
@@ -66,51 +73,52 @@ class SortedLists:
         while at < n:
             end = min(n, at + step)
             places = np.where(falls, lists[n - end : n - at][::-1], lists[at:end])
-            rows = np.unique(places)
-            rows = rows[~seen[rows]]
+            fresh = np.zeros(n, bool)
+            fresh[places.ravel()] = True
+            rows = np.flatnonzero(fresh & ~seen)
             seen[rows] = True
-            at, step = end, 2 * step
+            at, step = end, _GROWTH * step
             done = at == n or seen.all()
             stands = self.values[places[-1], used]
-            yield rows, self.values[rows] @ anchor, _LOWEST if done else int(stands @ weights)
+            yield rows, self.scores(rows, anchor), _LOWEST if done else int(stands @ weights)
             if done:
                 return
 
-    def best(self, rows: np.ndarray, scores: np.ndarray, wanted: int) -> np.ndarray:
-        """Indexes of the best of ``rows``, ties by the smaller id, then the first row."""
-        if len(rows) > 4 * wanted:
-            last = np.partition(scores, len(scores) - wanted)[len(scores) - wanted]
-            some = np.flatnonzero(scores >= last)
-        else:
-            some = np.arange(len(rows))
-        order = np.lexsort((self.places[rows[some]], self.ids[rows[some]], -scores[some]))
-        return some[order[:wanted]]
-
     def search(
-        self, anchor: np.ndarray, fits: Callable[[np.ndarray], np.ndarray],
-        windows: list[tuple[int, int]], wanted: int,
-    ) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(rows, scores) of the best that ``fits`` in each window (lowest, highest)."""
-        kept = [(np.zeros(0, np.intp), np.zeros(0, np.int64)) for _ in windows]
-        open_windows = {w for w, (low, high) in enumerate(windows) if low <= high}
-        if not open_windows:
-            return kept
-        for rows, scores, threshold in self.descend(anchor):
-            own = fits(rows)
-            rows, scores = rows[own], scores[own]
-            for w in sorted(open_windows):
-                low, high = windows[w]
-                inside = (scores >= low) & (scores <= high)
-                if inside.any():
-                    both = [np.concatenate(x) for x in zip(kept[w], (rows[inside], scores[inside]))]
-                    first = self.best(*both, wanted)
-                    kept[w] = both[0][first], both[1][first]
-                full = len(kept[w][0]) == wanted and threshold < kept[w][1][-1]
-                if full or threshold < low:
-                    open_windows.discard(w)
-            if not open_windows:
-                break
-        return kept
+        self,
+        anchor: np.ndarray,
+        fits: Callable[[np.ndarray], np.ndarray],
+        low: np.ndarray,
+        high: np.ndarray,
+        wanted: int,
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window, row, score) of the best rows that ``fits`` in each window.
+
+        Window w takes the scores from ``low[w]`` to ``high[w]``; ties go to the smaller
+        id, then to the first row.
+        """
+        rows, scores = np.zeros(0, np.intp), np.zeros(0, np.int64)
+        real = low <= high
+        if real.any():
+            lowest, highest = low[real].min(), high[real].max()
+            for some, own, threshold in self.descend(anchor):
+                inside = fits(some) & (own >= lowest) & (own <= highest)
+                rows, scores = np.append(rows, some[inside]), np.append(scores, own[inside])
+                last = np.sort(scores)
+                at = np.searchsorted(last, high, "right") - wanted
+                kth = last[np.maximum(at, 0)] if len(last) else low
+                full = (at >= 0) & (kth >= low) & (threshold < kth)
+                if (full | (threshold < low) | ~real).all():
+                    break
+        order = np.lexsort((self.places[rows], self.ids[rows], -scores))
+        rows, scores = rows[order], scores[order]
+        first = np.searchsorted(-scores, -high)
+        window, turn = np.indices((len(low), wanted)).reshape(2, -1)
+        at = first[window] + turn
+        there = at < len(rows)
+        window, at = window[there], at[there]
+        kept = scores[at] >= low[window]
+        return window[kept], rows[at[kept]], scores[at[kept]]
 
 
 def _search_blocks(
@@ -131,14 +139,15 @@ def _search_blocks(
     for number, (vector, place, label, scores) in enumerate(asked):
         vector = np.asarray(vector, np.int64)
         if same_label:
-            windows = [(_LOWEST, np.iinfo(np.int64).max)]
+            low, high = np.array([_LOWEST]), np.array([_HIGHEST])
             fits = lambda r, place=place: lists.places[r] != place
         else:
             # least * positive <= 100 * negative <= 100 * positive
-            windows = [(-(-least * int(s) // 100), int(s)) for s in scores]
+            low = np.array([-(-least * int(s) // 100) for s in scores], np.int64)
+            high = np.array(scores, np.int64)
             fits = lambda r, label=label: lists.labels[r] != label
-        for w, (some, own) in enumerate(lists.search(vector, fits, windows, wanted)):
-            found.append((np.full(len(some), number), np.full(len(some), w), some, own))
+        window, some, own = lists.search(vector, fits, low, high, wanted)
+        found.append((np.full(len(some), number), window, some, own))
     number, window, some, scores = (np.concatenate(x) for x in zip(*found))
     return pd.DataFrame(
         {
@@ -156,28 +165,37 @@ def _meet(
 ) -> DataFrame:
     """(anchor, window, id, place, score, turn): the best of all blocks, in turn.
 
-    Both frames have ``part``; an anchor meets all blocks of its part. With ``least`` the
-    rows have to have another label, and to lie in a window below each of ``scores``.
+    Without ``least``, an anchor meets all blocks of the rows of its label. With it, it
+    meets all blocks of all rows; rows have to have another label, and to lie in a window
+    below each of ``scores``.
     """
-    sizes = rows.groupBy("part").agg(F.count("*").alias("rows"))
-    asked = anchors.groupBy("part").agg(F.count("*").alias("anchors"))
-    blocks = sizes.join(asked, "part").select(
-        "part",
-        blocks_of(F.col("rows"), block).alias("blocks"),
-        blocks_of(F.col("anchors"), block).alias("anchor_blocks"),
-    )
-    blocks = small(written(blocks, "blocks"))
     keys = ["part", "b", "a"]
-    columns = ["place", "id", "label", "vector"]
+    if least is None:
+        keys[0] = "label"
+        sizes = rows.groupBy("label").agg(F.count("*").alias("rows"))
+        asked = anchors.groupBy("label").agg(F.count("*").alias("anchors"))
+        blocks = sizes.join(asked, "label").select(
+            "label",
+            blocks_of(F.col("rows"), block).alias("blocks"),
+            blocks_of(F.col("anchors"), block).alias("anchor_blocks"),
+        )
+        blocks = small(written(blocks, "blocks"))
+        rows, anchors = rows.join(blocks, "label"), anchors.join(blocks, "label")
+    else:
+        sizes = {
+            "blocks": blocks_of(F.lit(rows.count()), block),
+            "anchor_blocks": blocks_of(F.lit(anchors.count()), block),
+            "part": F.lit(0),
+        }
+        rows, anchors = rows.withColumns(sizes), anchors.withColumns(sizes)
+    columns = [c for c in ("place", "id", "label", "vector") if c not in keys]
     rows = (
-        rows.join(blocks, "part")
-        .withColumn("b", block_of("place", "blocks"))
+        rows.withColumn("b", block_of("place", "blocks"))
         .withColumn("a", each_of("anchor_blocks"))
         .select(*keys, *columns)
     )
     anchors = (
-        anchors.join(blocks, "part")
-        .withColumn("a", block_of("place", "anchor_blocks", 1))
+        anchors.withColumn("a", block_of("place", "anchor_blocks", 1))
         .withColumn("b", each_of("blocks"))
         .select(*keys, *columns, "scores")
     )
@@ -245,8 +263,8 @@ def mine_negatives(
     none = F.lit(None).cast("array<bigint>")
     best = written(
         _meet(
-            anchors.select("*", F.col("label").alias("part"), none.alias("scores")),
-            table.withColumn("part", F.col("label")),
+            anchors.withColumn("scores", none),
+            table,
             dimension,
             positives,
             block,
@@ -264,8 +282,8 @@ def mine_negatives(
         F.col("score").alias("positive_score"),
     )
     found = _meet(
-        anchors.join(scored, "place").withColumn("part", F.lit(0).cast("bigint")),
-        table.withColumn("part", F.lit(0).cast("bigint")),
+        anchors.join(scored, "place"),
+        table,
         dimension,
         negatives,
         block,

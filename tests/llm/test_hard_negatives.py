@@ -128,10 +128,28 @@ def test_search_ends_early():
     values[7] = [9000, 10, 10]
     lists = SortedLists(values, np.arange(4000), np.arange(4000), np.zeros(4000))
     scored = []
-    kept = lists.search(
-        np.array([5, 1, 0]), lambda r: scored.append(len(r)) or np.ones(len(r), bool), [(0, 1 << 40)], 1
+
+    def fits(rows):
+        scored.append(len(rows))
+        return np.ones(len(rows), bool)
+
+    window, rows, scores = lists.search(
+        np.array([5, 1, 0]), fits, np.array([0, 50_000]), np.array([1 << 40, 0]), 1
+    )
+    assert (window.tolist(), rows.tolist(), scores.tolist()) == ([0], [7], [45_010])
+    assert sum(scored) < 100
+
+
+def test_scores_beyond_doubles():
+    values = np.array([[1 << 24, 1 << 24, 1 << 24], [(1 << 24) - 1, 1 << 24, 1 << 24]])
+    lists = SortedLists(values, np.arange(2), np.arange(2), np.zeros(2))
+    anchor = np.array([1 << 24, (1 << 24) - 1, 1 << 24])
+    expected = [sum(x * y for x, y in zip(v, map(int, anchor))) for v in values.tolist()]
+    assert lists.scores(np.arange(2), anchor).tolist() == expected
+    window, rows, scores = lists.search(
+        anchor, lambda r: np.ones(len(r), bool), np.array([0]), np.array([expected[1]]), 5
     )
-    assert kept[0][0].tolist() == [7] and sum(scored) < 100
+    assert rows.tolist() == [1] and scores.tolist() == [expected[1]]
 
 
 def test_steps_change_nothing(spark, monkeypatch):
