@@ -21,19 +21,23 @@ corpus and are added by ``pack_apart``.
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Hashable, Iterable
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
 from orderlake.llm.simhash import simhash_components
 from orderlake.llm.tables import fields, id_type, written
-from orderlake.llm.text import SPACE_CLASS, SPACES, words_of
+from orderlake.llm.text import SPACE_CLASS
 
 CAPACITY = 2048
 DOCS_PER_SHARD = 4096
@@ -86,41 +90,63 @@ def best_fit(
     return placed
 
 
-def text_length(text: Column) -> Column:
-    """Words of a text and one end mark; 1 for a null or empty text."""
-    return (F.size(words_of(text)) + 1).cast("bigint")
+class Worded:
+    """The words of some texts, lower-cased, as numbers: those of text i are
+    ``numbers[bounds[i]:bounds[i + 1]]``. A text without words has one empty word."""
 
+    def __init__(self, texts: Iterable[str | None]):
+        said = pa.array(texts, pa.large_string(), from_pandas=True).fill_null("")
+        said = pc.ascii_trim_whitespace(pc.utf8_lower(said))
+        words = pc.ascii_split_whitespace(said)
+        self.said = said
+        self.numbers = words.flatten().dictionary_encode().indices.to_numpy().astype(np.uint64)
+        self.bounds = words.offsets.to_numpy()
 
-def text_cluster(text: Column) -> Column:
-    """Digest that texts share if they differ in letter case and white space only."""
-    bare = F.trim(F.coalesce(text, F.lit("")), F.lit(SPACES))
-    return F.md5(F.lower(F.regexp_replace(bare, f"[{SPACE_CLASS}]+", " ")).cast("binary"))
+    def lengths(self) -> np.ndarray:
+        """Words of each text and one end mark."""
+        empty = pc.equal(self.said, "").to_numpy(zero_copy_only=False)
+        return np.diff(self.bounds) - empty + 1
 
+    def digests(self) -> list[str]:
+        """What texts share if they differ in letter case and white space only."""
+        bare = pc.replace_substring_regex(self.said, f"[{SPACE_CLASS}]+", " ")
+        bare = bare.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+        return [hashlib.md5(x).hexdigest() for x in bare]
 
-def _shingles(text: str | None, vocabulary: dict[str, int]) -> np.ndarray:
-    """Distinct shingles of a text, sorted; fewer words than a shingle are one shingle."""
-    words = (text or "").lower().split()
-    known = np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words], np.uint64)
-    mixed = (known ^ (known >> np.uint64(7))) * np.uint64(0x9E3779B97F4A7C15)
+
+def _mixed(numbers: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every ``width`` numbers in a row."""
+    mixed = (numbers ^ (numbers >> np.uint64(7))) * np.uint64(0x9E3779B97F4A7C15)
     mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    width = min(SHINGLE, len(words))
-    n = len(words) - width + 1
+    n = max(0, len(numbers) - width + 1)
     out = np.full(n, width, np.uint64)
     for j in range(width):
         out = (out ^ (out >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) + mixed[j : j + n]
-    return np.unique(out)
+    return out
+
+
+def _shingle_sets(worded: Worded) -> list[np.ndarray]:
+    """Distinct shingles of each text, sorted; fewer words than a shingle are one shingle."""
+    hashes = _mixed(worded.numbers, SHINGLE)
+    sets = []
+    for start, end in pairwise(worded.bounds.tolist()):
+        if end - start < SHINGLE:
+            sets.append(_mixed(worded.numbers[start:end], end - start))
+        else:
+            own = np.sort(hashes[start : end - SHINGLE + 1])
+            sets.append(own[np.r_[True, own[1:] != own[:-1]]])
+    return sets
 
 
 def near_classes(
-    texts: Iterable[str | None], *clusters: Iterable[Hashable]
+    texts: Iterable[str | None] | Worded, *clusters: Iterable[Hashable]
 ) -> list[int]:
     """A number for each text, the same for near copies and for equal clusters but None.
 
     Links are followed: what is a near copy of a near copy has the same number. Texts
     that are joined already are not compared, so a crowd of copies costs little.
     """
-    vocabulary: dict[str, int] = {}
-    sets = [_shingles(text, vocabulary) for text in texts]
+    sets = _shingle_sets(texts if isinstance(texts, Worded) else Worded(texts))
     parent = list(range(len(sets)))
 
     def root(i: int) -> int:
@@ -130,7 +156,6 @@ def near_classes(
 
     first: dict[tuple[Hashable, Hashable], int] = {}
     nodes = []
-    counters = np.zeros(_COUNTERS, np.int32)
     for number, kind in enumerate(clusters):
         for i, cluster in enumerate(kind):
             if cluster is not None:
@@ -140,15 +165,19 @@ def near_classes(
         parent[root(i)] = root(same)
         if same == i:
             nodes.append(i)
-            np.add.at(counters, (own % np.uint64(_COUNTERS)).astype(np.intp), 1)
-    # Sets with enough in common share an element of these prefixes, in any common order.
-    prefixes = []
-    for i in nodes:
-        own = sets[i]
-        order = np.argsort(counters[(own % np.uint64(_COUNTERS)).astype(np.intp)], kind="stable")
-        prefixes.append(own[order[: len(own) - -(-NEAR * len(own) // 100) + 1]])
-    if not prefixes:
+    if not nodes:
         return []
+    # Sets with enough in common share an element of these prefixes, in any common order:
+    # here by an approximate frequency, then by the hash. Each shingle goes by its place in
+    # that order.
+    shingles = np.concatenate([sets[i] for i in nodes])
+    slots = (shingles % np.uint64(_COUNTERS)).astype(np.intp)
+    often = np.minimum(np.bincount(slots, minlength=_COUNTERS), (1 << 16) - 1).astype(np.uint64)
+    places = (often[slots] << np.uint64(48)) | (shingles >> np.uint64(16))
+    prefixes = []
+    for own in np.split(places, np.cumsum([len(sets[i]) for i in nodes])[:-1]):
+        size = len(own) - -(-NEAR * len(own) // 100) + 1
+        prefixes.append(np.partition(own, size - 1)[:size])
     owners = np.repeat(nodes, [len(x) for x in prefixes])
     elements = np.concatenate(prefixes)
     order = np.argsort(elements, kind="stable")
@@ -197,32 +226,33 @@ def pack_documents(
     looked at. No rows give no rows. Ties in length go by cluster, source and id.
     """
     shards = max(1, -(-docs.count() // docs_per_shard))
-    text = F.col(text_col)
     place = F.monotonically_increasing_id() if classes is None else F.col("_place")
     shard_of = F.pmod(F.xxhash64(place), F.lit(shards))
     measured = docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).cast("string").alias("source"),
-        (text_cluster(text) if cluster is None else cluster.cast("string")).alias("cluster"),
-        text_length(text).alias("length"),
-        text.alias("text"),
+        *([] if cluster is None else [cluster.cast("string").alias("cluster")]),
+        F.col(text_col).alias("text"),
         place.alias("place"),
         shard_of.alias("shard"),
     )
 
     def pack(shard: pd.DataFrame) -> pd.DataFrame:
+        worded = Worded(shard["text"])
+        shard = shard.assign(length=worded.lengths())
+        if cluster is None:
+            shard["cluster"] = worded.digests()
+        kinds = [shard["cluster"], *([shard["component"]] if "component" in shard else [])]
+        near = near_classes(worded, *([None if pd.isna(x) else x for x in kind] for kind in kinds))
         # Missing ids come as NaN or None: order by what they print as.
-        shard = shard.assign(said=shard["id"].astype(str)).sort_values(
+        shard = shard.assign(near=near, said=shard["id"].astype(str)).sort_values(
             ["length", "cluster", "source", "said"], ascending=[False, True, True, True]
         )
         base = int(shard["shard"].iloc[0]) * BINS_PER_SHARD
         ids, lengths = shard["id"].to_numpy(), shard["length"].to_numpy()
-        sources, clusters = (
-            [None if pd.isna(x) else x for x in shard[name]] for name in ("source", "cluster")
-        )
-        near = near_classes(shard["text"], clusters, shard.get("component", []))
+        sources = [None if pd.isna(x) else x for x in shard["source"]]
         members = Counter(near)
-        conflicts = [sources, [x if members[x] > 1 else None for x in near]]
+        conflicts = [sources, [x if members[x] > 1 else None for x in shard["near"]]]
         rows: list[tuple] = []
         rests = []
         full = 0

@@ -17,11 +17,12 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def test_registered():
-    assert [f"op{i}" for i in range(1, 11)] == sorted(
+    assert [f"op{i}" for i in range(1, 14)] == sorted(
         (name.split("_")[0] for name in LLM_QUERIES), key=lambda x: int(x[2:])
     )
     assert {*LLM_QUERIES, "pipeline"} <= set(queries())
-    assert {"op4_license_scan", "op6_quality_rules"} <= set(oracle_sql())
+    with_sql = {"op4_license_scan", "op6_quality_rules", "op11_source_audit", "op13_hard_negatives"}
+    assert with_sql <= set(oracle_sql())
 
 
 def check_packing(docs, packed, capacity):
