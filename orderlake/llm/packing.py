@@ -98,9 +98,9 @@ class Worded:
         said = pa.array(texts, pa.large_string(), from_pandas=True).fill_null("")
         said = pc.ascii_trim_whitespace(pc.utf8_lower(said))
         words = pc.ascii_split_whitespace(said)
-        self.said = said
-        self.numbers = words.flatten().dictionary_encode().indices.to_numpy().astype(np.uint64)
+        self.numbers = words.flatten().dictionary_encode().indices.to_numpy()
         self.bounds = words.offsets.to_numpy()
+        self.said = said
 
     def lengths(self) -> np.ndarray:
         """Words of each text and one end mark."""
@@ -116,12 +116,16 @@ class Worded:
 
 def _mixed(numbers: np.ndarray, width: int) -> np.ndarray:
     """A hash of every ``width`` numbers in a row."""
-    mixed = (numbers ^ (numbers >> np.uint64(7))) * np.uint64(0x9E3779B97F4A7C15)
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = numbers.astype(np.uint64)
+    for shift, factor in ((7, 0x9E3779B97F4A7C15), (29, 0xBF58476D1CE4E5B9)):
+        mixed ^= mixed >> np.uint64(shift)
+        mixed *= np.uint64(factor)
     n = max(0, len(numbers) - width + 1)
     out = np.full(n, width, np.uint64)
     for j in range(width):
-        out = (out ^ (out >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) + mixed[j : j + n]
+        out ^= out >> np.uint64(31)
+        out *= np.uint64(0x94D049BB133111EB)
+        out += mixed[j : j + n]
     return out
 
 
@@ -174,6 +178,7 @@ def near_classes(
     slots = (shingles % np.uint64(_COUNTERS)).astype(np.intp)
     often = np.minimum(np.bincount(slots, minlength=_COUNTERS), (1 << 16) - 1).astype(np.uint64)
     places = (often[slots] << np.uint64(48)) | (shingles >> np.uint64(16))
+    del shingles, slots, often
     prefixes = []
     for own in np.split(places, np.cumsum([len(sets[i]) for i in nodes])[:-1]):
         size = len(own) - -(-NEAR * len(own) // 100) + 1
@@ -237,13 +242,17 @@ def pack_documents(
         shard_of.alias("shard"),
     )
 
+    by_text = cluster is None
+
     def pack(shard: pd.DataFrame) -> pd.DataFrame:
-        worded = Worded(shard["text"])
-        shard = shard.assign(length=worded.lengths())
-        if cluster is None:
+        worded = Worded(shard.pop("text"))
+        shard["length"] = worded.lengths()
+        if by_text:
             shard["cluster"] = worded.digests()
         kinds = [shard["cluster"], *([shard["component"]] if "component" in shard else [])]
         near = near_classes(worded, *([None if pd.isna(x) else x for x in kind] for kind in kinds))
+        del worded
+        pa.default_memory_pool().release_unused()
         # Missing ids come as NaN or None: order by what they print as.
         shard = shard.assign(near=near, said=shard["id"].astype(str)).sort_values(
             ["length", "cluster", "source", "said"], ascending=[False, True, True, True]
