@@ -3,8 +3,8 @@
 A bounded sample is cut in two again and again, each time at the median along the line
 between the means of its halves, so all lists have as many vectors of the sample, crowds
 of near copies too; the means of the last halves are the centroids. Every vector is kept
-in the list of its nearest centroid, and a boundary vector also in those of other
-centroids that are nearly as near and not behind one that is taken already.
+in the list of its nearest centroid, and a boundary vector also in the lists of the next
+ones, if they are nearly as near.
 
 The centroids, a bounded number, are searched through a graph in memory: each is joined
 to its nearest ones, leaving out those that are nearer to one already joined, so the
@@ -157,16 +157,11 @@ def lists_of(index: ListIndex, vectors: np.ndarray, spread: float, copies: int)
     out = []
     for at in range(0, len(vectors), _BATCH):
         found = index.distances(vectors[at : at + _BATCH], 1 + spread)
-        order = np.argsort(found, axis=1, kind="stable")[:, : 4 * copies]
-        for own, some in zip(found, order):
-            kept = [some[0]]
-            for j in some[1:]:
-                if len(kept) == copies or own[j] > (1 + spread) * own[some[0]]:
-                    break
-                others = index.centroids[kept] - index.centroids[j]
-                if (np.einsum("ij,ij->i", others, others) >= own[j] ** 2).all():
-                    kept.append(j)
-            out.append(np.array(kept))
+        order = np.argsort(found, axis=1, kind="stable")[:, :copies]
+        near = np.take_along_axis(found, order, axis=1)
+        # A list is as near as the nearest one or beyond it, so the first is always kept.
+        kept = near <= (1 + spread) * near[:, :1]
+        out += [some[own] for some, own in zip(order, kept)]
     return out
 
 
@@ -267,7 +262,7 @@ def nearest_vectors(
     max_lists: int = 1024,
     sample: int = 16384,
     spread: float = 0.02,
-    copies: int = 4,
+    copies: int = 3,
     reach: float = 0.97,
     block: int = 2048,
     id_col: str = "vec_id",
