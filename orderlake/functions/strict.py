@@ -35,10 +35,20 @@ ZONED_TIME_REGEX = (
     r"^\d{4}-\d{2}-\d{2}[Tt _]\d{2}:\d{2}(:\d{2}(\.\d+)?)?([Zz]|[+-]\d{2}:?\d{2})\z"
 )
 ZONELESS_TIME_REGEX = r"^\d{4}-\d{2}-\d{2}([Tt _]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?\z"
+# The usual spellings, which are taken as they are.
+CANONICAL_UUID_REGEX = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\z"
+CANONICAL_TIME_REGEX = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?Z\z"
+CANONICAL_CURRENCY_REGEX = r"^[A-Z]{3}\z"
 #: Epoch numbers beyond this are milliseconds, not seconds.
 EPOCH_SECONDS_LIMIT = 20_000_000_000
 # --------------------------------------------------------------------------
 
+#: Event columns whose values are read in one step.
+_READ_TOGETHER = (
+    ("event_id", "order_id", "customer_id"),
+    ("event_type", "event_version", "order_status", "order_amount", "currency"),
+    ("event_time",),
+)
 _PAYLOAD = ArrayType(StructType([StructField(n, VariantType()) for n in EVENT_COLUMNS]))
 
 
@@ -74,7 +84,9 @@ def _uuid(given: _Given) -> Column:
     """Canonical lower-case UUID, or null."""
     digits = F.regexp_replace(F.lower(given.text), r"^urn:uuid:|[{}\-]", "")
     dashed = F.regexp_replace(digits, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
-    return F.when(given.is_string & given.text.rlike(ANY_UUID_REGEX), dashed)
+    return F.when(given.is_string & given.text.rlike(CANONICAL_UUID_REGEX), given.text).when(
+        given.is_string & given.text.rlike(ANY_UUID_REGEX), dashed
+    )
 
 
 def _version(given: _Given) -> Column:
@@ -110,6 +122,9 @@ def _instant(given: _Given) -> Column:
     )
     scale = F.when(F.abs(epoch) > EPOCH_SECONDS_LIMIT, 1000).otherwise(1_000_000)
     return F.when(
+        given.is_string & given.text.rlike(CANONICAL_TIME_REGEX),
+        given.text.try_cast("timestamp"),
+    ).when(
         given.is_string & given.text.rlike(ZONED_TIME_REGEX),
         with_seconds.try_cast("timestamp"),
     ).otherwise(F.timestamp_micros((epoch * scale).try_cast("bigint")))
@@ -117,7 +132,9 @@ def _instant(given: _Given) -> Column:
 
 def _currency(given: _Given) -> Column:
     stripped = F.regexp_replace(given.text, r"(?U)^\s+|\s+\z", "")
-    return F.when(given.is_string & (F.length(stripped) == 3), F.upper(stripped))
+    return F.when(
+        given.is_string & given.text.rlike(CANONICAL_CURRENCY_REGEX), given.text
+    ).when(given.is_string & (F.length(stripped) == 3), F.upper(stripped))
 
 
 def _fresh_id(df: DataFrame) -> Column:
@@ -145,7 +162,9 @@ def apply_contract(df: DataFrame, payload: str = "raw_event") -> DataFrame:
     # Wrapped in brackets, so that text after the object breaks the parse.
     wrapped = F.concat(F.lit("["), F.col(payload), F.lit("]"))
     items = F.from_json(wrapped, _PAYLOAD, {"allowSingleQuotes": "false"})
-    # Each step runs once per row: parse, unwrap, take apart, read the values.
+    # Each step runs once per row: parse, unwrap, take apart, read the values. Spark
+    # compiles a step to one method, and the JVM only interprets a method of over 8000
+    # bytes, so the values are read in several steps.
     parsed = compute_once(df, _items=items)
     sole = F.when(F.size("_items") == 1, F.get("_items", F.lit(0)))
     unwrapped = compute_once(parsed, _payload=sole).drop("_items")
@@ -168,10 +187,12 @@ def apply_contract(df: DataFrame, payload: str = "raw_event") -> DataFrame:
         "event_time": _instant(g["event_time"]),
     }
     at = g["event_time"]
+    read = fields
+    for names in _READ_TOGETHER:
+        read = compute_once(read, **{f"_read_{name}": values[name] for name in names})
     read = compute_once(
-        fields,
-        **{f"_read_{name}": value for name, value in values.items()},
-        _amount_fits=_amount_fits(g["order_amount"], values["order_amount"]),
+        read,
+        _amount_fits=_amount_fits(g["order_amount"], F.col("_read_order_amount")),
         _zoneless=at.is_string & at.text.rlike(ZONELESS_TIME_REGEX),
     )
     clean = {name: F.col(f"_read_{name}") for name in EVENT_COLUMNS}

@@ -1,5 +1,6 @@
 """The strict contract, row by row."""
 
+import re
 from datetime import datetime, timezone
 from decimal import Decimal
 
@@ -8,6 +9,7 @@ from builders import CUSTOMER_ID, EVENT_ID, ORDER_ID, event, messages
 
 from orderlake.functions.strict import accepted, apply_contract
 from orderlake.operators.bronze import envelope
+from orderlake.schemas import EVENT_COLUMNS
 
 CASES = [
     ("good", event(), []),
@@ -103,3 +105,25 @@ def test_made_up_id_is_the_same_on_replay(spark):
     first = [r.event_id for r in df.orderBy("kafka_offset").collect()]
     again = [r.event_id for r in df.orderBy("kafka_offset").collect()]
     assert first == again and len(set(first)) == 2
+
+
+def test_each_step_is_small_enough_for_the_jvm_to_compile(spark, tmp_path, capsys):
+    """The JVM only interprets a method of over 8000 bytes."""
+    envelope(messages(spark, [event()])).write.parquet(str(tmp_path / "sent"))
+    accepted(apply_contract(spark.read.parquet(str(tmp_path / "sent")))).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
+
+
+def test_usual_spellings_are_read_like_any_other(spark):
+    usual = event()
+    other = event(
+        event_id="urn:uuid:{" + EVENT_ID.upper() + "}",
+        order_id=ORDER_ID.replace("-", ""),
+        customer_id=CUSTOMER_ID.upper(),
+        currency=" usd ",
+        event_time="2026-08-01_10:15Z",
+    )
+    rows = accepted(apply_contract(envelope(messages(spark, [usual, other]))))
+    assert rows.count() == 2
+    assert rows.select(EVENT_COLUMNS).distinct().count() == 1
